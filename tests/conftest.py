@@ -1,0 +1,36 @@
+import sys
+from pathlib import Path
+
+import pytest
+
+ROOT = Path(__file__).resolve().parent.parent
+sys.path.insert(0, str(ROOT))
+
+from hourledger.session import build_session  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = build_session(
+        "tests",
+        "local[8]",
+        spark__sql__shuffle__partitions="4",
+        spark__driver__memory="4g",
+        spark__ui__showConsoleProgress="false",
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
+        spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
+    )
+    session.sparkContext.setLogLevel("OFF")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def folder(tmp_path):
+    return str(tmp_path)
+
+
+def rows(df, *columns):
+    """Sorted rows as tuples, optionally of some columns."""
+    chosen = df.select(*columns) if columns else df
+    return sorted((tuple(row) for row in chosen.collect()), key=repr)

@@ -1,0 +1,84 @@
+import random
+
+import pytest
+from conftest import rows
+
+from hourledger.operators.latest import latest_per_key
+from hourledger.operators.merge import merge_latest, merge_latest_small
+
+SCHEMA = "k1 string, k2 int, etl_time int, payload string"
+KEYS = ["k1", "k2"]
+MERGES = [merge_latest, merge_latest_small]
+
+
+def frame(spark, data):
+    return spark.createDataFrame(data, SCHEMA)
+
+
+@pytest.mark.parametrize("merge", MERGES)
+def test_branches(spark, merge):
+    std = frame(spark, [("newer", 1, 5, "s"), ("older", 1, 5, "s"), ("equal", 1, 5, "s"), ("alone", 1, 5, "s"),
+                        ("null std", 1, None, "s"), ("null upd", 1, 5, "s")])
+    updates = frame(spark, [("newer", 1, 6, None), ("older", 1, 4, "u"), ("equal", 1, 5, "u"), ("insert", 1, 1, "u"),
+                            ("null std", 1, 9, "u"), ("null upd", 1, None, "u")])
+    assert rows(merge(std, updates, KEYS)) == [
+        ("alone", 1, 5, "s"), ("equal", 1, 5, "s"), ("insert", 1, 1, "u"), ("newer", 1, 6, None),
+        ("null std", 1, None, "s"), ("null upd", 1, 5, "s"), ("older", 1, 5, "s"),
+    ]
+
+
+@pytest.mark.parametrize("merge", MERGES)
+def test_null_key_parts_never_match_unless_asked(spark, merge):
+    std = frame(spark, [("a", None, 1, "s")])
+    updates = frame(spark, [("a", None, 2, "u")])
+    assert rows(merge(std, updates, KEYS)) == [("a", None, 1, "s"), ("a", None, 2, "u")]
+    assert rows(merge(std, updates, KEYS, null_safe=True)) == [("a", None, 2, "u")]
+
+
+@pytest.mark.parametrize("merge", MERGES)
+def test_all_null_row_is_kept(spark, merge):
+    std = frame(spark, [(None, None, None, None)])
+    updates = frame(spark, [(None, None, None, None)])
+    assert len(rows(merge(std, updates, KEYS))) == 2
+
+
+def random_rows(rng, count):
+    return [
+        (rng.choice(["a", "b", "c", None]), rng.choice([1, 2, 3, None]), rng.choice([1, 2, 3, None]), rng.choice("xyz"))
+        for _ in range(count)
+    ]
+
+
+def expected(std, updates, null_safe):
+    out, used = [], set()
+    for row in std:
+        match = next(
+            (i for i, u in enumerate(updates) if u[:2] == row[:2] and (null_safe or None not in row[:2])), None
+        )
+        if match is None:
+            out.append(row)
+            continue
+        used.add(match)
+        u = updates[match]
+        newer = u[2] is not None and row[2] is not None and u[2] > row[2]
+        out.append(u if newer else row)
+    return sorted(out + [u for i, u in enumerate(updates) if i not in used], key=repr)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_random_rows_against_brute_force(spark, seed):
+    rng = random.Random(seed)
+    std = latest_per_key(frame(spark, random_rows(rng, 12)), KEYS)
+    updates = latest_per_key(frame(spark, random_rows(rng, 12)), KEYS)
+    std_rows, update_rows = rows(std), rows(updates)
+    for null_safe in (False, True):
+        want = expected(std_rows, update_rows, null_safe)
+        for merge in MERGES:
+            assert rows(merge(std, updates, KEYS, null_safe=null_safe)) == want
+
+
+def test_idempotent_for_complete_keys(spark):
+    std = frame(spark, [("a", 1, 1, "s"), ("b", 1, 1, "s")])
+    updates = frame(spark, [("a", 1, 2, "u"), ("c", 1, 1, "u")])
+    once = merge_latest(std, updates, KEYS)
+    assert rows(merge_latest(once, updates, KEYS)) == rows(once)
