@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hourledger.functions import convert
+from hourledger.operators.reduced import join_reduced
 
 
 def _usable_project(tasks: DataFrame) -> Column:
@@ -41,7 +42,7 @@ def entries_in_period(
 
 def entries_on(entries: DataFrame, projects: DataFrame) -> DataFrame:
     """Entries booked on one of the projects. An entry without project matches none."""
-    return entries.join(projects, "projectId", "left_semi")
+    return join_reduced(entries, projects, ["projectId"], "left_semi")
 
 
 def hours_per(entries: DataFrame, *by: str, name: str = "total_billable_hours") -> DataFrame:

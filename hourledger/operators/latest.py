@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _RANK = "__rank"
+_ROW = "__row"
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str | Column], order: Sequence[Column]) -> DataFrame:
@@ -25,7 +26,12 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], version: str = "etl_time"
 
     Equal versions are settled by the remaining columns, highest first, so the result does not
     depend on the order in which rows are read. NULL key parts form a group of their own.
+
+    That order covers the whole row, so the latest row is the maximum of the row as a struct: an
+    aggregate, which is combined before the shuffle like any other and sorts by the key only.
     """
     rest = [name for name in df.columns if name != version and name not in keys]
-    order = [F.col(name).desc_nulls_last() for name in [version, *rest]]
-    return first_per_key(df, list(keys), order)
+    latest = df.groupBy(*keys).agg(F.max(F.struct(version, *rest)).alias(_ROW))
+    return latest.select(
+        *[F.col(name) if name in keys else F.col(f"{_ROW}.{name}").alias(name) for name in df.columns]
+    )

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hourledger.operators.reduced import join_reduced
+
 
 def hours_with_email(hours: DataFrame, users: DataFrame) -> DataFrame:
     """Hours with the user's email; ``display_user`` is the email, else the user id."""
-    emails = users.select(F.col("id"), F.col("email"))
-    joined = hours.join(emails, hours["userId"] == emails["id"], "left").drop("id")
-    return joined.withColumn("display_user", F.coalesce("email", "userId"))
+    emails = users.select(F.col("id").alias("userId"), "email")
+    return join_reduced(hours, emails, ["userId"]).withColumn("display_user", F.coalesce("email", "userId"))
 
 
 def kpis(users: DataFrame, hours: DataFrame) -> DataFrame:

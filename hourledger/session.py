@@ -18,6 +18,10 @@ def build_session(app: str = "hourledger", master: str | None = None, **conf: st
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Split a hot key even where that costs a shuffle later on.
+        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+        # With more than 2000 shuffle partitions block sizes are averaged; report hot ones exactly.
+        .config("spark.shuffle.accurateBlockSkewedFactor", "5")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     if master:

@@ -1,0 +1,91 @@
+"""A third of all rows on one key: the work is split, the result is whole."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from hourledger.operators import hours, invoices, lookup, report
+from hourledger.operators.latest import first_per_key, latest_per_key
+
+SETTINGS = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+    "spark.sql.shuffle.partitions": "16",
+}
+COUNT = 300_000
+
+
+@pytest.fixture
+def small_limits(spark):
+    before = {key: spark.conf.get(key, None) for key in SETTINGS}
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def facts(spark):
+    """Rows 0..COUNT-1; every third belongs to user 7."""
+    user = F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 2000).cast("string")
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 28).cast("int"))
+    return spark.range(0, COUNT, 1, 16).select(
+        F.col("id").alias("n"), user.alias("userId"), F.concat(F.lit("U"), user, F.lit("@x.com")).alias("email"),
+        user.alias("projectId"), day.alias("entry_date"), F.lit(0.5).alias("decimalHours"),
+        F.xxhash64("id").alias("payload"),
+    )
+
+
+def users(spark):
+    return spark.range(2000).select(
+        F.col("id").cast("string").alias("id"), F.concat(F.lit("u"), F.col("id"), F.lit("@x.com")).alias("email")
+    )
+
+
+def split_and_whole(df, count=COUNT):
+    assert len(df.collect()) == count
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return "SortMergeJoin(skew=true)" in plan
+
+
+def test_entries_on_a_hot_project(spark, small_limits):
+    tasks = users(spark).select(F.col("id").alias("projectId"), F.lit(0).alias("isNonBillable"))
+    kept = hours.entries_on(facts(spark), hours.billable_projects(tasks))
+    # Project 0 is no project.
+    zero = facts(spark).where("projectId = '0'").count()
+    assert split_and_whole(kept, COUNT - zero)
+
+
+def test_lookups_of_a_hot_email(spark, small_limits):
+    assert split_and_whole(lookup.attach_user_id(facts(spark), users(spark)))
+    mapping = users(spark).select("email", F.col("id").alias("issuer_company"), F.lit(1).alias("updated_at"))
+    attached = lookup.attach_issuer(facts(spark), mapping)
+    assert split_and_whole(attached)
+    assert attached.where("issuer_company IS NULL OR issuer_company <> userId").count() == 0
+
+
+def test_hours_of_a_hot_user(spark, small_limits):
+    reduced = latest_per_key(users(spark), ["id"], "email")
+    named = report.hours_with_email(facts(spark).drop("email"), reduced)
+    assert split_and_whole(named)
+
+
+def test_month_to_date_of_a_hot_user_and_month(spark, small_limits):
+    booked = invoices.attach_month_to_date(facts(spark), facts(spark), "userId", "entry_date")
+    assert split_and_whole(booked)
+    last = booked.where("userId = '7'").agg(F.max("timesheet_hours")).first()[0]
+    assert last == facts(spark).where("userId = '7'").count() * 0.5
+
+
+@pytest.mark.parametrize("reduce", [
+    lambda df: latest_per_key(df, ["userId"], "n"),
+    lambda df: first_per_key(df, ["userId"], [F.col("n").desc()]),
+])
+def test_one_row_per_key_and_task_reaches_the_shuffle(spark, small_limits, reduce):
+    df = reduce(facts(spark))
+    assert df.count() == 2000
+    assert df.where("userId = '7'").first()["n"] == COUNT - 3
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    below = plan.split("Exchange hashpartitioning")[1]
+    assert "partial_max" in below or "WindowGroupLimit" in below
