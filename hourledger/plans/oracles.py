@@ -124,6 +124,10 @@ LEFT JOIN users_std u ON lower(u.email) = lower(i.email)
 LEFT JOIN latest_issuer l ON l.email_key = lower(i.email) AND NOT contains(l.email_key, '3@')""",
 }
 
+# The mapping history as saved: without the sequence number that breaks ties.
+_VIEWS["latest_saved_issuer"] = _VIEWS["latest_issuer"].replace("seq DESC, ", "")
+_VIEWS["pipeline_decisions"] = _VIEWS["decisions"].replace("latest_issuer", "latest_saved_issuer")
+
 # View -> views it reads.
 _READS = {
     "users_std": ["users_raw"],
@@ -138,6 +142,8 @@ _READS = {
     "month_to_date": ["billable_entries"],
     "invoices": ["month_to_date"],
     "decisions": ["invoices", "users_std", "latest_issuer"],
+    "latest_saved_issuer": ["mapping"],
+    "pipeline_decisions": ["invoices", "users_std", "latest_saved_issuer"],
 }
 
 
@@ -186,6 +192,15 @@ SELECT 3, 'hours_full_key',
        (SELECT COUNT(DISTINCT (userId, start_date, end_date)) FROM hours_std)"""
 _LAYERS = ["users_std", "hours_std"]
 
+_STORE = """
+SELECT email, razon_social, ruc_emisor, amount_of_hours, rate, description, year, month FROM (
+  SELECT lower(email) AS email, trim(razon_social) AS razon_social,
+         lpad(CAST(userId AS VARCHAR), 12, '0') AS ruc_emisor, amount_of_hours, rate, description,
+         strftime(invoice_date, '%Y') AS year, strftime(invoice_date, '%m') AS month,
+         row_number() OVER (PARTITION BY lower(email), date_trunc('month', invoice_date)
+                            ORDER BY invoice_id DESC) AS rn
+  FROM {decisions} WHERE failures = '') WHERE rn = 1"""
+
 _HOURS_STD = _with(["hours_std"], f"SELECT {_HOURS_COLUMNS} FROM hours_std")
 
 ORACLES: dict[str, str] = {
@@ -349,17 +364,8 @@ SELECT invoice_id, nullif(split_part(failures, ',', 1), '') AS first_failure, fa
        failures = '' AS accepted
 FROM decisions""",
     ),
-    "invoice_store_rows": _with(
-        ["decisions"],
-        """
-SELECT email, razon_social, ruc_emisor, amount_of_hours, rate, description, year, month FROM (
-  SELECT lower(email) AS email, trim(razon_social) AS razon_social,
-         lpad(CAST(userId AS VARCHAR), 12, '0') AS ruc_emisor, amount_of_hours, rate, description,
-         strftime(invoice_date, '%Y') AS year, strftime(invoice_date, '%m') AS month,
-         row_number() OVER (PARTITION BY lower(email), date_trunc('month', invoice_date)
-                            ORDER BY invoice_id DESC) AS rn
-  FROM decisions WHERE failures = '') WHERE rn = 1""",
-    ),
+    "invoice_store_rows": _with(["decisions"], _STORE.format(decisions="decisions")),
+    "invoice_pipeline": _with(["pipeline_decisions"], _STORE.format(decisions="pipeline_decisions")),
     "invoice_store_roundtrip": _with(
         ["invoices"],
         """

@@ -14,10 +14,10 @@ from hourledger.functions.text import is_company_email
 from hourledger.operators import clean, hours, invoices, lookup, merge, quality, report
 from hourledger.operators.latest import latest_per_key
 from hourledger.plans import adapters
-from hourledger.plans.pipeline import PipelineConfig, landing_to_raw, raw_to_std
+from hourledger.plans.pipeline import PipelineConfig, landing_to_raw, process_invoices, raw_to_std
 from hourledger.plans.tables import HOURS, USERS
 from hourledger.session import shared_dir
-from hourledger.sinks import catalog, invoice_store, landing, std_table
+from hourledger.sinks import catalog, history, invoice_store, landing, std_table
 from hourledger.sources import api_pages
 from hourledger.sources.landing import read_landing
 from hourledger.sources.tables import read_invoice_store
@@ -293,10 +293,14 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.select("invoice_id", sender.alias("email"), damaged.alias("xml"))
 
 
-def _decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Users whose number ends in 3 gave another address.
+def _mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mapping history; users whose number ends in 3 gave another address."""
     moved = F.when(F.col("email").contains("3@"), F.concat(F.lit("old."), F.col("email")))
-    mapping = adapters.email_issuer_mapping(spark, sf_dir).withColumn("email", F.coalesce(moved, F.col("email")))
+    return adapters.email_issuer_mapping(spark, sf_dir).withColumn("email", F.coalesce(moved, F.col("email")))
+
+
+def _decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mapping = _mapping(spark, sf_dir)
     directory = lookup.email_directory(users_std(spark, sf_dir), mapping).withColumn(
         "user_id", F.col("user_id").cast("bigint")
     )
@@ -335,6 +339,23 @@ def invoice_store_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_invoice_store(spark, path)
 
 
+@query
+def invoice_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole invoice job on files and tables: the content of the store afterwards."""
+    cfg = PipelineConfig(_scratch(spark, "invoices"), f"hourledger_{uuid.uuid4().hex}")
+    catalog.create_database(spark, cfg.database)
+    std_table.apply_updates(
+        spark, cfg.std_table(USERS), USERS, users_std(spark, sf_dir), cfg.std(USERS), "base"
+    )
+    history.append_mapping(_mapping(spark, sf_dir), cfg.mapping)
+    documents = _documents(spark, sf_dir).withColumn("received_at", F.col("invoice_id"))
+    entries = adapters.time_entries(spark, sf_dir).withColumn("userId", F.col("userId").cast("string"))
+    process_invoices(
+        spark, cfg, documents, entries, adapters.project_tasks(spark, sf_dir), adapters.RULES
+    )
+    return read_invoice_store(spark, cfg.invoices)
+
+
 # --- Sources and incremental loads ------------------------------------------------------------
 
 

@@ -31,7 +31,7 @@ def exchanges(text):
 LAZY = [
     name for name in QUERIES
     if name not in {"merge_into_std_table", "invoice_store_roundtrip", "api_pages_flatten", "api_pages_totals",
-                    "landing_roundtrip", "incremental_raw", "full_reload"}
+                    "landing_roundtrip", "incremental_raw", "full_reload", "invoice_pipeline"}
 ]
 
 
@@ -74,3 +74,20 @@ def test_invoices_are_joined_to_one_row_per_month(spark, no_broadcast):
     assert joins and all("LeftOuter" in join and "__user" in join for join in joins)
     # No grouping by invoice afterwards.
     assert "keys=[invoice_id" not in text
+
+
+def test_period_reaches_a_date_column_and_its_partitions(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from hourledger.operators.hours import entries_in_period
+
+    path = str(tmp_path / "entries")
+    day = F.date_add(F.lit("2025-01-01").cast("date"), F.col("id").cast("int"))
+    spark.range(90).select(
+        F.col("id").alias("userId"), day.alias("entry_date"), F.date_format(day, "yyyy-MM").alias("month")
+    ).write.partitionBy("month").parquet(path)
+    kept = entries_in_period(spark.read.parquet(path), "2025-02-01", "2025-02-03", 31)
+    text = kept._jdf.queryExecution().executedPlan().toString()
+    for pushed in ("GreaterThanOrEqual(entry_date,2025-02-01)", "LessThanOrEqual(entry_date,2025-02-03)", "EqualTo(userId,31)"):
+        assert pushed in text
+    assert kept.count() == 1
