@@ -56,7 +56,7 @@ def arguments() -> argparse.ArgumentParser:
 
 
 def _items(spark: SparkSession, args, kind: str, schema, flatten=api_pages.flatten_pages) -> DataFrame:
-    return flatten(api_pages.require_complete(api_pages.read_pages(spark, f"{args.pages}/{kind}", schema)))
+    return flatten(api_pages.read_complete_pages(spark, f"{args.pages}/{kind}", schema))
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -19,7 +19,13 @@ def join_reduced(facts: DataFrame, reduced: DataFrame, keys: Sequence[str], how:
     one task. With a hash of the key as a second join column Spark shuffles the reduced side,
     which is the small one, once more, and the split applies. Where the reduced side is small
     enough Spark broadcasts it, and neither side is shuffled.
+
+    Key types must agree: equal values of different types hash differently.
     """
+    for key in keys:
+        left, right = facts.schema[key].dataType, reduced.schema[key].dataType
+        if left != right:
+            raise TypeError(f"key {key} is {left.simpleString()} here and {right.simpleString()} there")
     key_hash = F.xxhash64(*keys)
     joined = facts.withColumn(_HASH, key_hash).join(
         reduced.withColumn(_HASH, key_hash), [*keys, _HASH], how

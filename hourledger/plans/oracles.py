@@ -126,7 +126,7 @@ LEFT JOIN latest_issuer l ON l.email_key = lower(i.email) AND NOT contains(l.ema
 
 # The mapping history as saved: without the sequence number that breaks ties.
 _VIEWS["latest_saved_issuer"] = _VIEWS["latest_issuer"].replace("seq DESC, ", "")
-_VIEWS["pipeline_decisions"] = _VIEWS["decisions"].replace("latest_issuer", "latest_saved_issuer")
+_VIEWS["saved_decisions"] = _VIEWS["decisions"].replace("latest_issuer", "latest_saved_issuer")
 
 # View -> views it reads.
 _READS = {
@@ -143,7 +143,7 @@ _READS = {
     "invoices": ["month_to_date"],
     "decisions": ["invoices", "users_std", "latest_issuer"],
     "latest_saved_issuer": ["mapping"],
-    "pipeline_decisions": ["invoices", "users_std", "latest_saved_issuer"],
+    "saved_decisions": ["invoices", "users_std", "latest_saved_issuer"],
 }
 
 
@@ -365,7 +365,7 @@ SELECT invoice_id, nullif(split_part(failures, ',', 1), '') AS first_failure, fa
 FROM decisions""",
     ),
     "invoice_store_rows": _with(["decisions"], _STORE.format(decisions="decisions")),
-    "invoice_pipeline": _with(["pipeline_decisions"], _STORE.format(decisions="pipeline_decisions")),
+    "invoice_files_to_store": _with(["saved_decisions"], _STORE.format(decisions="saved_decisions")),
     "invoice_store_roundtrip": _with(
         ["invoices"],
         """

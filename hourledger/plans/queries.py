@@ -340,7 +340,7 @@ def invoice_store_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def invoice_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+def invoice_files_to_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole invoice job on files and tables: the content of the store afterwards."""
     cfg = PipelineConfig(_scratch(spark, "invoices"), f"hourledger_{uuid.uuid4().hex}")
     catalog.create_database(spark, cfg.database)
@@ -374,8 +374,7 @@ def _pages(items: DataFrame, key: str, page_size: int = 1000) -> DataFrame:
 def api_pages_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _scratch(spark, "pages")
     _pages(adapters.project_tasks(spark, sf_dir), "id").write.json(path)
-    pages = api_pages.read_pages(spark, path, schemas.TASKS_PAGE)
-    return api_pages.flatten_pages(api_pages.require_complete(pages))
+    return api_pages.flatten_pages(api_pages.read_complete_pages(spark, path, schemas.TASKS_PAGE))
 
 
 @query

@@ -25,6 +25,9 @@ def _page(item: T.StructType) -> T.StructType:
     return T.StructType([T.StructField("data", T.ArrayType(item)), _META])
 
 
+# What counting the rows of a page takes; all other fields are skipped unread.
+COUNTED_PAGE = _page(_strings("id"))
+
 USERS_PAGE = _page(_strings("id", "firstName", "lastName", "email"))
 TASKS_PAGE = _page(
     T.StructType(

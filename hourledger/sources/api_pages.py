@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hourledger import schemas
 from hourledger.functions import convert
 
 
@@ -42,9 +43,20 @@ def page_totals(pages: DataFrame) -> DataFrame:
     ).withColumn("complete", F.col("delivered") == F.col("announced"))
 
 
-def require_complete(pages: DataFrame) -> DataFrame:
+def require_complete(pages: DataFrame) -> None:
     """Fail the load when pages are missing or were landed twice."""
     totals = page_totals(pages).first()
     if not totals["complete"]:
         raise IncompletePages(f"{totals['delivered']} rows in the pages, {totals['announced']} announced")
-    return pages
+
+
+def read_complete_pages(
+    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False
+) -> DataFrame:
+    """Pages under ``path``, once their rows are known to add up.
+
+    Counting is a pass of its own that reads ids only. Counting while loading would save it, but
+    metrics of a plan with shuffles count twice what is computed twice after a lost executor.
+    """
+    require_complete(read_pages(spark, path, schemas.COUNTED_PAGE, multi_line))
+    return read_pages(spark, path, schema, multi_line)

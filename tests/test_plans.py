@@ -31,7 +31,7 @@ def exchanges(text):
 LAZY = [
     name for name in QUERIES
     if name not in {"merge_into_std_table", "invoice_store_roundtrip", "api_pages_flatten", "api_pages_totals",
-                    "landing_roundtrip", "incremental_raw", "full_reload", "invoice_pipeline"}
+                    "landing_roundtrip", "incremental_raw", "full_reload", "invoice_files_to_store"}
 ]
 
 

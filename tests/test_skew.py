@@ -89,3 +89,9 @@ def test_one_row_per_key_and_task_reaches_the_shuffle(spark, small_limits, reduc
     plan = df._jdf.queryExecution().executedPlan().toString()
     below = plan.split("Exchange hashpartitioning")[1]
     assert "partial_max" in below or "WindowGroupLimit" in below
+
+
+def test_keys_of_different_types_are_refused(spark):
+    numbers = spark.createDataFrame([(1,)], "projectId int")
+    with pytest.raises(TypeError, match="projectId is bigint here and int there"):
+        hours.entries_on(spark.range(1).withColumnRenamed("id", "projectId"), numbers)

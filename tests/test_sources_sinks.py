@@ -93,8 +93,7 @@ def page(path, data, total):
 def test_pages_are_flattened_and_ids_become_text(spark, folder):
     page(f"{folder}/1.json", [{"id": 1, "firstName": "Alice"}], 2)
     page(f"{folder}/2.json", [{"id": "2", "firstName": "Bob", "more": {"x": 1}}], 2)
-    pages = api_pages.read_pages(spark, folder, schemas.USERS_PAGE)
-    users = api_pages.flatten_pages(api_pages.require_complete(pages))
+    users = api_pages.flatten_pages(api_pages.read_complete_pages(spark, folder, schemas.USERS_PAGE))
     assert rows(users) == [("1", "Alice", None, None), ("2", "Bob", None, None)]
 
 
@@ -103,26 +102,26 @@ def test_missing_or_repeated_pages_fail_the_load(spark, folder, pages):
     for number in range(pages):
         page(f"{folder}/{number}.json", [{"id": number}], 2)
     with pytest.raises(api_pages.IncompletePages):
-        api_pages.require_complete(api_pages.read_pages(spark, folder, schemas.USERS_PAGE))
+        api_pages.read_complete_pages(spark, folder, schemas.USERS_PAGE)
 
 
 def test_unreadable_page_fails_the_load(spark, folder):
     page(f"{folder}/1.json", [{"id": 1}], 2)
     write(f"{folder}/2.json", '{"data": [{"id": 2}')
     with pytest.raises(api_pages.IncompletePages):
-        api_pages.require_complete(api_pages.read_pages(spark, folder, schemas.USERS_PAGE))
+        api_pages.read_complete_pages(spark, folder, schemas.USERS_PAGE)
 
 
 def test_pretty_printed_pages(spark, folder):
     write(f"{folder}/1.json", json.dumps({"data": [{"projectId": 5, "isNonBillable": None}], "meta": {"totalRows": 1}}, indent=1))
-    pages = api_pages.read_pages(spark, folder, schemas.TASKS_PAGE, multi_line=True)
-    assert rows(api_pages.flatten_pages(api_pages.require_complete(pages))) == [(None, "5", None)]
+    pages = api_pages.read_complete_pages(spark, folder, schemas.TASKS_PAGE, multi_line=True)
+    assert rows(api_pages.flatten_pages(pages)) == [(None, "5", None)]
 
 
 def test_no_rows_at_all_is_complete(spark, folder):
     page(f"{folder}/1.json", [], 0)
-    pages = api_pages.read_pages(spark, folder, schemas.USERS_PAGE)
-    assert api_pages.flatten_pages(api_pages.require_complete(pages)).count() == 0
+    pages = api_pages.read_complete_pages(spark, folder, schemas.USERS_PAGE)
+    assert api_pages.flatten_pages(pages).count() == 0
 
 
 # --- Mapping ----------------------------------------------------------------------------------
