@@ -39,14 +39,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _dotted(name: str) -> Column:
+def dotted(name: str) -> Column:
     return F.replace(F.col(name), F.lit("#"), F.lit("."))
 
 
 def users_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Padded users; a renamed second version for a third of them; rows without id."""
     customers = table(spark, sf_dir, "customer")
-    email = F.concat(F.lower(_dotted("c_name")), F.lit(f"@{DOMAIN}"))
+    email = F.concat(F.lower(dotted("c_name")), F.lit(f"@{DOMAIN}"))
 
     def at(text: str) -> Column:
         return F.lit(text).cast("timestamp_ntz").alias("etl_time")
@@ -140,7 +140,7 @@ def _orders_with_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
 def email_issuer_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mixed-case emails with many versions; ``seq`` breaks ties of the time."""
     return _orders_with_customer(spark, sf_dir).select(
-        F.concat(_dotted("c_name"), F.lit("@Corp.Example")).alias("email"),
+        F.concat(dotted("c_name"), F.lit("@Corp.Example")).alias("email"),
         F.col("o_orderpriority").alias("issuer_company"),
         F.col("o_orderdate").alias("updated_at"),
         F.col("o_orderkey").alias("seq"),
@@ -159,7 +159,7 @@ def invoices(spark: SparkSession, sf_dir: str, with_hours: bool = True) -> DataF
     base = _orders_with_customer(spark, sf_dir).select(
         key.alias("invoice_id"),
         F.col("o_custkey").alias("userId"),
-        F.concat(_dotted("c_name"), F.lit(f"@{DOMAIN}")).alias("email"),
+        F.concat(dotted("c_name"), F.lit(f"@{DOMAIN}")).alias("email"),
         company.alias("razon_social"),
         F.when(key % 11 == 0, F.lit("000000000000")).otherwise(F.lit(RULES.receiver_id)).alias("rut_receptor"),
         F.when(key % 13 == 0, F.lit("consulting")).otherwise(F.lit(FULL_DESCRIPTION)).alias("description"),

@@ -212,7 +212,7 @@ def latest_issuer_of_email(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mapping_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     history = adapters.email_issuer_mapping(spark, sf_dir).select("email", "issuer_company", "updated_at")
     entered = adapters.table(spark, sf_dir, "customer").select(
-        F.lower(adapters._dotted("c_name")).alias("email"),
+        F.lower(adapters.dotted("c_name")).alias("email"),
         F.concat(F.lit("\t"), F.col("c_mktsegment"), F.lit(" \n")).alias("issuer_company"),
     )
     added = lookup.new_mappings(entered, RUN_TS).withColumn("updated_at", F.col("updated_at").cast("timestamp_ntz"))

@@ -1,6 +1,7 @@
 from conftest import rows
 
 from hourledger.operators import quality
+from hourledger.plans.pipeline import run_checks
 from hourledger.plans.tables import HOURS, USERS
 
 
@@ -33,7 +34,7 @@ def test_one_table_failing_does_not_stop_the_rest(spark):
         df = spark.createDataFrame([("u",)], "userId string")
         return df, df
 
-    report = quality.run_checks(spark, [USERS, HOURS], read_layers)
+    report = run_checks(spark, [USERS, HOURS], read_layers)
     line = quality.summary_line(report, ["users", "billable_hours_summary"], "2025-07-11").first()[0]
     assert line == (
         "Jul 11, 2025, ❌ Error in users: no such table, "
