@@ -129,10 +129,10 @@ def identify(
     model without languages. Ties go to the first language in order. Every row gives a row, repeated
     ones too. Nothing but the text is an input of the prediction.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.log_prob, model.log_prior))
 
     def start():
-        known = shared.value
+        known = LanguageModel(*shared.value)
 
         def work(texts: pa.Array) -> list:
             codes, begins = normalised(texts)

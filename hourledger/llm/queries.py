@@ -12,8 +12,10 @@ from hourledger.llm.bpe import encode_decode
 from hourledger.llm.chat import conversation_digests, format_conversations, text_part
 from hourledger.llm.decontaminate import contamination
 from hourledger.llm.languages import fit_languages, identify
+from hourledger.llm.ngram_join import near_groups
 from hourledger.llm.token_counts import count_tokens
 from hourledger.llm.topk import top_k
+from hourledger.llm.toxicity import fit_toxicity, score_toxicity
 from hourledger.llm.url_filter import filter_urls
 
 
@@ -60,6 +62,16 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items")
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(table(spark, sf_dir, "documents"), k=3, percent=90)
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    index = fit_toxicity(docs, labels.where(to_learn_from("doc_id", 5, 0)))
+    return score_toxicity(docs, index).select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score", "predicted", "evidence")
+
+
 RULES = [
     ("allow", "com", "/"),
     ("block", "example.com", "/en/"),
@@ -76,7 +88,7 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_token_counts, op3_decontamination, op5_url_filter, op6_language_id, op8_top_k, op9_bpe, op10_chat_format)
+    f.__name__: f for f in (op2_token_counts, op3_decontamination, op4_ngram_join, op5_url_filter, op6_language_id, op7_toxicity, op8_top_k, op9_bpe, op10_chat_format)
 }
 
 ORACLES: dict[str, str] = {
