@@ -12,6 +12,7 @@ from hourledger.llm.bpe import encode_decode
 from hourledger.llm.chat import conversation_digests, format_conversations, text_part
 from hourledger.llm.decontaminate import contamination
 from hourledger.llm.languages import fit_languages, identify
+from hourledger.llm.lm import fit_lm, score_lm
 from hourledger.llm.ngram_join import near_groups
 from hourledger.llm.token_counts import count_tokens
 from hourledger.llm.topk import top_k
@@ -29,6 +30,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = score_lm(docs, fit_lm(docs.where(to_learn_from("doc_id", 10, 0))))
+    return scored.select("doc_id", held_out("doc_id", 10, 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
@@ -88,7 +95,7 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_token_counts, op3_decontamination, op4_ngram_join, op5_url_filter, op6_language_id, op7_toxicity, op8_top_k, op9_bpe, op10_chat_format)
+    f.__name__: f for f in (op1_lm_score, op2_token_counts, op3_decontamination, op4_ngram_join, op5_url_filter, op6_language_id, op7_toxicity, op8_top_k, op9_bpe, op10_chat_format)
 }
 
 ORACLES: dict[str, str] = {

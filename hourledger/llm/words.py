@@ -24,12 +24,18 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def hashed_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all words in order, A-Z lower-cased, and how many begin before each text.
+    """64-bit hashes of all words in order, A-Z lower-cased, and how many begin before each text."""
+    hashes, _, begins = words_and_endings(texts)
+    return hashes, begins
+
+
+def words_and_endings(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As `hashed_words`, with the last three bytes of each word as a number in between.
 
     Two different words share a hash with a chance of 2**-64.
     """
     data, offsets = text_bytes(texts)
-    hashes, starts = [], []
+    hashes, endings, starts = [], [], []
     at = 0
     while at < len(data):
         end = min(at + PIECE, len(data))
@@ -38,19 +44,21 @@ def hashed_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
             inner = offsets[np.searchsorted(offsets, end, "right") - 1]
             cut = max(at + int(white[-1]) + 1 if len(white) else at, int(inner))
             end = cut if cut > at else len(data)
-        found, where = _piece(data[at:end], offsets[(offsets >= at) & (offsets < end)] - at)
+        found, last, where = _piece(data[at:end], offsets[(offsets >= at) & (offsets < end)] - at)
         hashes.append(found)
+        endings.append(last)
         starts.append(where + at)
         at = end
     hashes = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
     starts = np.concatenate(starts) if starts else np.zeros(0, np.int64)
-    return hashes, np.searchsorted(starts, offsets)
+    endings = np.concatenate(endings) if endings else np.zeros(0, np.int64)
+    return hashes, endings, np.searchsorted(starts, offsets)
 
 
-def _piece(data: np.ndarray, text_starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _piece(data: np.ndarray, text_starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     solid = ~WHITE[data]
     if not solid.any():
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     begins = solid.copy()
     begins[1:] &= ~solid[:-1]
     begins[text_starts] |= solid[text_starts]
@@ -62,5 +70,10 @@ def _piece(data: np.ndarray, text_starts: np.ndarray) -> tuple[np.ndarray, np.nd
     power[1:] = FACTOR
     power = np.multiply.accumulate(power)
     offset = np.arange(len(places)) - np.repeat(first, lengths)
-    values = (LOWER[data[places]].astype(np.uint64) + np.uint64(1)) * power[offset]
-    return mix(np.add.reduceat(values, first)), starts
+    low = LOWER[data[places]]
+    values = (low.astype(np.uint64) + np.uint64(1)) * power[offset]
+    endings = np.zeros(len(first), np.int64)
+    for back in range(3):
+        at = first + lengths - 1 - back
+        endings = endings * 256 + np.where(at >= first, low[at.clip(min=0)], 0)
+    return mix(np.add.reduceat(values, first)), endings, starts
