@@ -63,13 +63,13 @@ def hits(docs: DataFrame, items: DataFrame, size: int = 13, id_col: str = "doc_i
     return found.where(same).select("k1", "k2", "start", "length", "items")
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _keyed(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
     id_, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
-    return docs.select(F.xxhash64(id_, text).alias("k1"), F.hash(text, id_).alias("k2"), id_.alias("id"), words(text).alias("words"))
+    return docs.select(F.xxhash64(id_, text).alias("k1"), F.hash(text, id_).alias("k2"), words(text).alias("words"), *more)
 
 
-def contamination(docs: DataFrame, items: DataFrame, size: int = 13, share: int = 20, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """One row per document: n_words, n_hit, n_items, items_sha256, contaminated, and the item ids.
+def contamination(docs: DataFrame, items: DataFrame, size: int = 13, share: int = 20, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", carry: list[str] | None = None, prefix: str = "") -> DataFrame:
+    """The carried columns (the id) of every row, n_words, n_hit, n_items, items_sha256, contaminated, and the item ids.
 
     A word inside any occurrence of a window is hit; a document is contaminated if share * n_hit >=
     n_words and a word is hit. Null and empty texts have no words; items without words have no
@@ -84,15 +84,16 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = 13, share: int
     counted = distinct.withColumn("adds", adds).groupBy("k1", "k2").agg(
         F.sum("adds").alias("n_hit"), F.sort_array(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items")
     )
-    rows = _keyed(docs, id_col, text_col).select("k1", "k2", "id", F.size("words").cast("long").alias("n_words"))
+    carried = F.struct(*[F.col(f"`{c}`") for c in carry or [id_col]]).alias("row")
+    rows = _keyed(docs, id_col, text_col, carried).select("k1", "k2", "row", F.size("words").cast("long").alias("n_words"))
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     found = F.coalesce("items", F.array().cast("array<string>"))
-    return rows.join(counted, ["k1", "k2"], "left").select(
-        F.col("id").alias(id_col),
-        "n_words",
-        n_hit.alias("n_hit"),
-        F.size(found).cast("long").alias("n_items"),
-        F.sha2(F.array_join(found, ","), 256).alias("items_sha256"),
-        ((n_hit > 0) & (n_hit * share >= F.col("n_words"))).alias("contaminated"),
-        found.alias("items"),
-    )
+    outputs = {
+        "n_words": F.col("n_words"),
+        "n_hit": n_hit,
+        "n_items": F.size(found).cast("long"),
+        "items_sha256": F.sha2(F.array_join(found, ","), 256),
+        "contaminated": (n_hit > 0) & (n_hit * share >= F.col("n_words")),
+        "items": found,
+    }
+    return rows.join(counted, ["k1", "k2"], "left").select("row.*", *[v.alias(prefix + k) for k, v in outputs.items()])
