@@ -6,9 +6,11 @@ the wanted similarity share a shingle among their first few (the inverted lists
 share two among one more: small sets enumerate the pairs of those, keys that hardly meet by chance.
 The size up to which sets count as small is the one of least cost over the sizes that occur.
 
-Equal sets are one node. Sets that share a list, directly or through others, are a candidate group;
-a group's sets are scanned together, in pairs of blocks of bounded size where it is large. A scan
-reports a spanning forest of its links, so a group of n near copies gives n - 1 rows, not all pairs.
+Equal sets are one node. Two sets of a list are candidates if their sizes allow the similarity, and
+so do their signatures: the counts of shingles by hash bin, whose sum of minima bounds the
+intersection from above. Sets that are candidates, directly or through others, are a group; a group's
+sets are scanned together. Long lists and large groups are dealt out as pairs of blocks of bounded
+size. Lists and scans report spanning forests, so n near copies give n - 1 rows, not all pairs.
 """
 
 from __future__ import annotations
@@ -31,6 +33,10 @@ from hourledger.session import shared_dir
 SKETCH_BITS = 18
 #: Shingles of a block of a candidate group; two blocks are scanned together.
 BLOCK_SHINGLES = 1_000_000
+#: Members of a block of a long list, and rows of short lists that are looked through together.
+LIST_BLOCK, LIST_ROWS = 2048, 20_000
+#: Hash bins of a signature.
+BINS = 128
 #: What a posting of an inverted list costs, in keys of a small set.
 SCAN_COST = 4
 
@@ -108,7 +114,7 @@ def _statistics(texts: DataFrame, k: int) -> tuple[np.ndarray, dict[int, int]]:
 
 
 def _signatures(texts: DataFrame, k: int, percent: int, sketch: np.ndarray, boundary: int) -> DataFrame:
-    """id, n, f1, f2 (equal for equal sets), keys of inverted lists and of pairs, of every text."""
+    """id, n, f1, f2 (equal for equal sets), signature, keys of inverted lists and of pairs, of every text."""
     shared = texts.sparkSession.sparkContext.broadcast(sketch)
     both = least_overlap(boundary + 1, percent)
 
@@ -123,6 +129,8 @@ def _signatures(texts: DataFrame, k: int, percent: int, sketch: np.ndarray, boun
             total, other = np.zeros((2, len(value) + 1), np.uint64)
             np.cumsum(mix(value), out=total[1:])
             np.cumsum(mix(value ^ np.uint64(0xA5A5A5A5A5A5A5A5)), out=other[1:])
+            bins = owner * BINS + (mix(value ^ np.uint64(0x5A5A5A5A5A5A5A5A)) % np.uint64(BINS)).astype(np.int64)
+            bins = np.bincount(bins, minlength=len(sizes) * BINS).astype(np.int32).reshape(-1, BINS)
             lists, pairs = [], []
             for size, begin in zip(sizes.tolist(), begins[:-1].tolist(), strict=True):
                 first = size - least_overlap(size, percent) + 1 if size else 0
@@ -136,12 +144,12 @@ def _signatures(texts: DataFrame, k: int, percent: int, sketch: np.ndarray, boun
                 pa.array(np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32)), _signed(np.concatenate(parts) if parts else ranked[:0])
             )
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes), _signed(total[begins[1:]] - total[begins[:-1]]), _signed(other[begins[1:]] - other[begins[:-1]]), as_lists(lists), as_lists(pairs)],
-                ["id", "n", "f1", "f2", "lists", "pairs"],
+                [batch.column(0), pa.array(sizes), _signed(total[begins[1:]] - total[begins[:-1]]), _signed(other[begins[1:]] - other[begins[:-1]]), pa.array([b.tobytes() for b in bins], pa.binary()), as_lists(lists), as_lists(pairs)],
+                ["id", "n", "f1", "f2", "bins", "lists", "pairs"],
             )
 
     longs = T.ArrayType(T.LongType())
-    fields = [texts.schema["id"], *(T.StructField(c, T.LongType()) for c in ("n", "f1", "f2")), T.StructField("lists", longs), T.StructField("pairs", longs)]
+    fields = [texts.schema["id"], *(T.StructField(c, T.LongType()) for c in ("n", "f1", "f2")), T.StructField("bins", T.BinaryType()), T.StructField("lists", longs), T.StructField("pairs", longs)]
     return texts.select("id", "text").mapInArrow(sign, T.StructType(fields))
 
 
@@ -170,14 +178,9 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
-def links_of(ids: np.ndarray, sizes: np.ndarray, values: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links among the sets, by scanning inverted lists."""
-    begins = np.cumsum(sizes) - sizes
-    _, token = np.unique(values, return_inverse=True)
-    order = np.argsort(token, kind="stable")
-    held = np.repeat(np.arange(len(sizes)), sizes)[order]
-    starts = np.searchsorted(token[order], np.arange(token.max() + 2))
-    parent = list(range(len(sizes)))
+def _forest(n: int):
+    """Union-find over n places: `join` says whether two were apart."""
+    parent = list(range(n))
 
     def find(x: int) -> int:
         while parent[x] != x:
@@ -185,16 +188,37 @@ def links_of(ids: np.ndarray, sizes: np.ndarray, values: np.ndarray, percent: in
             x = parent[x]
         return x
 
-    found = []
+    def join(a: int, b: int) -> bool:
+        a, b = find(a), find(b)
+        parent[a] = b
+        return a != b
+
+    return join
+
+
+def candidates_of(sizes: np.ndarray, bins: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs that sizes and signatures allow."""
+    join, found = _forest(len(sizes)), []
+    for i in range(1, len(sizes)):
+        shared = np.minimum(bins[i], bins[:i]).sum(axis=1)
+        near = np.flatnonzero(100 * shared >= percent * (sizes[:i] + sizes[i] - shared))
+        found += [(j, i) for j in near.tolist() if join(i, j)]
+    return found
+
+
+def links_of(ids: np.ndarray, sizes: np.ndarray, values: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """A spanning forest of the links among the sets, by scanning inverted lists."""
+    begins = np.cumsum(sizes) - sizes
+    _, token = np.unique(values, return_inverse=True)
+    order = np.argsort(token, kind="stable")
+    held = np.repeat(np.arange(len(sizes)), sizes)[order]
+    starts = np.searchsorted(token[order], np.arange(token.max() + 2))
+    join, found = _forest(len(sizes)), []
     for i in range(len(sizes)):
         own = token[begins[i] : begins[i] + sizes[i]]
         shared = np.bincount(held[ragged(starts[own], starts[own + 1] - starts[own])], minlength=len(sizes))[:i]
         near = np.flatnonzero(100 * shared >= percent * (sizes[:i] + sizes[i] - shared))
-        for j in near.tolist():
-            a, b = find(i), find(j)
-            if a != b:
-                parent[a] = b
-                found.append((j, i))
+        found += [(j, i) for j in near.tolist() if join(i, j)]
     return [(ids[a], ids[b]) for a, b in found]
 
 
@@ -214,14 +238,15 @@ def near_groups(docs: DataFrame, k: int = 3, percent: int = 90, id_col: str = "d
     signed = _signatures(texts, k, percent, sketch, boundary).checkpoint()
     linkable = signed.where("id is not null and n > 0")
     # Equal sets are one node, named by the smallest id.
-    nodes = linkable.groupBy("n", "f1", "f2").agg(F.min("id").alias("node"), F.first("lists").alias("lists"), F.first("pairs").alias("pairs"))
+    nodes = linkable.groupBy("n", "f1", "f2").agg(F.min("id").alias("node"), F.first("bins").alias("bins"), F.first("lists").alias("lists"), F.first("pairs").alias("pairs"))
     large = nodes.select("node", "n", F.explode("lists").alias("key"), F.lit(False).alias("pair"))
     small = nodes.select("node", "n", F.explode("pairs").alias("key"), F.lit(True).alias("pair"))
     postings = large.unionByName(small).checkpoint()
     # A list of small sets only says nothing that their pairs do not say.
-    lists = postings.groupBy("key", "pair").agg(F.min("node").alias("first"), F.max("node").alias("last"), F.max("n").alias("most"))
-    lists = lists.where((F.col("first") < F.col("last")) & (F.col("pair") | (F.col("most") > boundary))).select("key", "pair", "first")
-    edges = join_reduced(postings, lists, ["key", "pair"], "inner").select(F.col("node").alias("a"), F.col("first").alias("b"))
+    lists = postings.groupBy("key", "pair").agg(F.min("node").alias("first"), F.max("node").alias("last"), F.max("n").alias("most"), F.count("*").alias("members"))
+    lists = lists.where((F.col("first") < F.col("last")) & (F.col("pair") | (F.col("most") > boundary))).select("key", "pair", "members")
+    shared = join_reduced(postings, lists, ["key", "pair"], "inner").checkpoint()
+    edges = _candidates(shared, nodes.select("node", "bins"), percent)
     groups = components(edges).withColumnRenamed("node", "id").withColumnRenamed("root", "rep_group")
     links = components(_scan(texts, linkable, nodes.select("node", "n", "f1", "f2"), groups, k, percent))
     own = join_reduced(linkable.select("id", "n", "f1", "f2"), nodes.select("node", "n", "f1", "f2"), ["n", "f1", "f2"]).select("id", "node")
@@ -233,6 +258,36 @@ def near_groups(docs: DataFrame, k: int = 3, percent: int = 90, id_col: str = "d
     )
 
 
+def _candidates(shared: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that connect the candidates of every list."""
+    slots = max(1, shared.count() // LIST_ROWS)
+    parts = F.ceil(F.col("members") / LIST_BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("node"), parts).cast("int")
+    dealt = join_reduced(shared, signatures, ["node"]).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+    low, high = F.least("own", "other"), F.greatest("own", "other")
+    # Short lists share a slot; each pair of blocks of a long one has its own.
+    group = F.when(parts == 1, F.pmod(F.xxhash64("key", "pair"), F.lit(slots))).otherwise(F.xxhash64("key", "pair", low, high))
+    dealt = dealt.select("node", "n", "bins", group.alias("slot"), F.xxhash64("key", "pair", low, high).alias("list"))
+
+    def look(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("list", "ascending"), ("node", "ascending")]).combine_chunks()
+        nodes, kind = table.column("node").to_pylist(), table.schema.field("node").type
+        sizes = table.column("n").to_numpy()
+        bins = np.frombuffer(b"".join(table.column("bins").to_pylist()), np.int32).reshape(-1, BINS)
+        lists = table.column("list").to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(lists)) + 1).tolist(), len(lists)]
+        done, found = set(), []
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            members = tuple(nodes[a:b])
+            if members not in done:  # near copies share many lists
+                done.add(members)
+                found += [(members[i], members[j]) for i, j in candidates_of(sizes[a:b], bins[a:b], percent)]
+        return pa.table({"a": pa.array([a for a, _ in found], kind), "b": pa.array([b for _, b in found], kind)})
+
+    out = T.StructType([T.StructField(c, shared.schema["node"].dataType) for c in ("a", "b")])
+    return dealt.groupBy("slot").applyInArrow(look, out)
+
+
 def _scan(texts: DataFrame, linkable: DataFrame, nodes: DataFrame, groups: DataFrame, k: int, percent: int) -> DataFrame:
     """Links (a, b) within candidate groups that connect what any links connect."""
     members = join_reduced(nodes.withColumnRenamed("node", "id"), groups, ["id"], "inner")
