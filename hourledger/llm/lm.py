@@ -9,7 +9,7 @@ computed once.
 
 Word counts come from all training texts. Training runs in the tasks that read them: each makes
 steps of noise-contrastive estimation in numpy over its own tokens, and the tasks' parameters are
-averaged by the number of their tokens, round after round. Counts of frequent words, a bounded number, are broadcast;
+averaged by the number of their tokens. Counts of frequent words, a bounded number, are broadcast;
 the other words of a text leave the task as rows and meet their counts in a join.
 """
 
@@ -110,7 +110,7 @@ class Model:
         a, b = context[one], context[two]
         q = a * place[0] + b * place[1]
         t, n = vector[target], vector[noise]
-        offset = np.log(len(noise)) + log_noise
+        offset = log_noise + np.float32(np.log(len(noise)))
         pull = 1 / (1 + np.exp(np.clip(offset[target] - (q * t).sum(axis=1) - bias[target], -30, 30))) - 1
         push = 1 / (1 + np.exp(np.clip(offset[noise] - q @ n.T - bias[noise], -30, 30)))
         dq = pull[:, None] * t + push @ n
@@ -135,7 +135,7 @@ class Model:
         """Natural logarithms of the normalised probabilities of the targets."""
         context, vector, place, bias = self.parts
         pair, of = np.unique(one.astype(np.int64) * UNITS + two, return_inverse=True)
-        result = np.empty(len(target))
+        result, ones = np.empty(len(target)), np.ones(UNITS, np.float32)
         order = np.argsort(of, kind="stable")
         cuts = np.searchsorted(of[order], np.arange(0, len(pair) + CONTEXTS, CONTEXTS))
         for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
@@ -147,7 +147,7 @@ class Model:
             at = order[a:b]
             chosen = score[of[at] - k * CONTEXTS, target[at]]
             score -= top[:, None]
-            norm = np.log(np.exp(score, out=score).sum(axis=1, dtype=np.float64)) + top
+            norm = np.log(np.exp(score, out=score) @ ones) + top
             result[at] = chosen - norm[of[at] - k * CONTEXTS]
         return result
 
@@ -189,7 +189,7 @@ def _train(texts: DataFrame, flat: np.ndarray, head: np.ndarray, share: np.ndarr
         start, own_head, noise_share = shared.value
         model, seen = Model(start), 0
         draw = np.random.default_rng(TaskContext.get().partitionId())
-        log_noise = np.log(noise_share).astype(np.float32)
+        log_noise, ladder = np.log(noise_share).astype(np.float32), np.cumsum(noise_share)
         for batch in blocks(batches, 0):
             keys, last, begins = tokens(batch.column(0))
             unit = units(keys, last, own_head)
@@ -197,7 +197,8 @@ def _train(texts: DataFrame, flat: np.ndarray, head: np.ndarray, share: np.ndarr
             order = draw.permutation(len(unit))
             for a in range(0, len(unit), STEP):
                 at = order[a : a + STEP]
-                model.step(one[at], two[at], unit[at], draw.choice(UNITS, NOISE, p=noise_share), log_noise)
+                noise = np.searchsorted(ladder, draw.random(NOISE)).clip(max=UNITS - 1)
+                model.step(one[at], two[at], unit[at], noise, log_noise)
             seen += len(unit)
         if seen:
             after = model.flat()
@@ -267,7 +268,7 @@ def score_lm(docs: DataFrame, fitted: dict, id_col: str = "doc_id", text_col: st
         model, split = Model(known["flat"]), np.log10(np.where(known["split"] > 0, known["split"], 1.0))
         divided = known["split"] > 0
         row = TaskContext.get().partitionId() << 33
-        for batch in blocks(batches, 1, 2 << 20):
+        for batch in blocks(batches, 1):
             keys, last, begins = tokens(batch.column(1))
             unit = units(keys, last, known["head"])
             one, two = contexts(unit, begins)
