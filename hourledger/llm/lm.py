@@ -268,7 +268,7 @@ def score_lm(docs: DataFrame, fitted: dict, id_col: str = "doc_id", text_col: st
         model, split = Model(known["flat"]), np.log10(np.where(known["split"] > 0, known["split"], 1.0))
         divided = known["split"] > 0
         row = TaskContext.get().partitionId() << 33
-        for batch in blocks(batches, 1):
+        for batch in blocks(batches, 1, 12 << 20):
             keys, last, begins = tokens(batch.column(1))
             unit = units(keys, last, known["head"])
             one, two = contexts(unit, begins)
