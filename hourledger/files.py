@@ -10,9 +10,16 @@ def _open(spark: SparkSession, path: str):
     return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def folder_bytes(spark: SparkSession, path: str) -> int:
+def has_file(spark: SparkSession, path: str, suffix: str) -> bool:
+    """Whether a file of that name ending is anywhere under ``path``; stops at the first."""
     folder, files = _open(spark, path)
-    return files.getContentSummary(folder).getLength()
+    if not files.exists(folder):
+        return False
+    found = files.listFiles(folder, True)
+    while found.hasNext():
+        if found.next().getPath().getName().endswith(suffix):
+            return True
+    return False
 
 
 def subfolders(spark: SparkSession, path: str) -> list[str]:

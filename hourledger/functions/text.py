@@ -40,3 +40,8 @@ def missing_keywords(text: Column, keywords: list[str] | tuple[str, ...]) -> Col
 def one_line(text: Column) -> Column:
     """Newlines replaced by blanks, for one record per line of CSV."""
     return F.replace(text, F.lit("\n"), F.lit(" "))
+
+
+def without_breaks(column: Column) -> Column:
+    """Each run of line breaks as one space, so that a record stays on one line."""
+    return F.regexp_replace(column, r"[\r\n]+", " ")

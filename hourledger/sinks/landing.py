@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hourledger.functions import convert
+from hourledger.functions.text import without_breaks
 
 # Quotes doubled, as csv writers do; white space kept.
 EXACT_CSV = {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
@@ -38,7 +39,12 @@ def landing_hours(
 
 
 def write_landing(df: DataFrame, folder: str, run_ts: datetime) -> str:
-    """Write into a folder of its own under the table's landing folder; returns its path."""
+    """Write into a folder of its own under the table's landing folder; returns its path.
+
+    A landing file holds one record per line, so that it can be split: line breaks inside a text
+    become spaces.
+    """
     target = f"{folder}/run={convert.run_suffix(run_ts)}"
-    df.write.mode("append").options(header="true", emptyValue="", **EXACT_CSV).csv(target)
+    lines = df.withColumns({c: without_breaks(F.col(c)) for c, kind in df.dtypes if kind == "string"})
+    lines.write.mode("append").options(header="true", emptyValue="", **EXACT_CSV).csv(target)
     return target

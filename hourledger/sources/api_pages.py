@@ -35,19 +35,27 @@ def flatten_entries(pages: DataFrame) -> DataFrame:
 
 
 def page_totals(pages: DataFrame) -> DataFrame:
-    """One row: rows delivered, rows announced, whether they agree. Unreadable pages count 0."""
-    size = F.coalesce(F.array_size("data"), F.lit(0)).cast("bigint")
-    return pages.agg(
-        F.coalesce(F.sum(size), F.lit(0)).alias("delivered"),
-        F.coalesce(F.max("meta.totalRows"), F.lit(0)).alias("announced"),
-    ).withColumn("complete", F.col("delivered") == F.col("announced"))
+    """One row: rows delivered, rows announced, whether they agree. Unreadable pages count 0.
+
+    They agree if every page announces the same number and so many different ids were delivered:
+    a repeated page must not make up for a missing one. Items without an id count as different.
+    """
+    items = pages.select(F.col("meta.totalRows").alias("total"), F.posexplode_outer("data").alias("pos", "item"))
+    counts = items.agg(
+        F.count("pos").alias("delivered"),
+        F.coalesce(F.max("total"), F.lit(0)).alias("announced"),
+        F.coalesce(F.min("total"), F.lit(0)).alias("least"),
+        (F.count_distinct("item.id") + F.count("pos") - F.count("item.id")).alias("ids"),
+    )
+    agree = (F.col("delivered") == F.col("announced")) & (F.col("ids") == F.col("announced")) & (F.col("least") == F.col("announced"))
+    return counts.select("delivered", "announced", agree.alias("complete"))
 
 
 def require_complete(pages: DataFrame) -> None:
     """Fail the load when pages are missing or were landed twice."""
     totals = page_totals(pages).first()
     if not totals["complete"]:
-        raise IncompletePages(f"{totals['delivered']} rows in the pages, {totals['announced']} announced")
+        raise IncompletePages(f"{totals['delivered']} rows in the pages, {totals['announced']} announced, or ids repeated")
 
 
 def read_complete_pages(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from hourledger import files
 from hourledger.functions import convert
 
 # Each file's header is checked against the schema, name by name: a file with other or reordered
@@ -29,10 +30,9 @@ def type_load_time(df: DataFrame) -> DataFrame:
 
 def read_landing(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """All ``*.csv`` files under ``path``; every column text but the load time."""
-    df = spark.read.schema(schema).options(**LANDING_OPTIONS).csv(path)
-    if not df.inputFiles():
+    if not files.has_file(spark, path, ".csv"):
         raise NoLandingFiles(f"no CSV files under {path}")
-    return type_load_time(df)
+    return type_load_time(spark.read.schema(schema).options(**LANDING_OPTIONS).csv(path))
 
 
 def stream_landing(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None) -> DataFrame:
