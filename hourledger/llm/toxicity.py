@@ -4,8 +4,9 @@ Terms are words and the beginnings of words, which inflected forms share. The te
 labels apart best make up the vocabulary; their document frequencies are counted over all documents.
 Labelled examples are indexed by term in blocks, each with the largest weight of its postings. A
 query visits blocks of examples in the order of their upper bound, the query's weights times the
-blocks' largest, and stops when the bound falls below the k-th best cosine, which is exact. Votes
-are weighted by cosine, over a prior of the labelled texts that hold no term of the vocabulary.
+blocks' largest, and stops when the bound falls below the k-th best cosine, which is exact. Examples
+with equal vectors stand in the index once, with their number; those tied at the k-th place share the
+votes that are left. Votes are weighted by cosine, over a prior of the labelled texts that hold no term of the vocabulary.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hourledger.llm.arrow import blocks, kept, map_texts
+from hourledger.session import shared_dir
 
 #: Labelled rows that the classifier is fitted on, chosen by a hash of their id.
 MAX_EXAMPLES = 20_000
@@ -32,16 +34,18 @@ BEGINNINGS = (4, 5, 6)
 K, BLOCK = 15, 32
 #: Weight of the prior beside the votes.
 PRIOR_WEIGHT = 0.25
-SPLIT = str.maketrans(dict.fromkeys("\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~!'0123456789", " "))
+#: Results that a worker remembers at most; beyond that it works them out anew.
+REMEMBERED = 200_000
+ASCII_SPLIT = bytes(32 if chr(i) in "\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~!'0123456789" else i for i in range(256))
 
 
-def word_counts(text: str) -> Counter:
-    return Counter(text.lower().translate(SPLIT).split())
+def words_of(text: str) -> list[str]:
+    # Bytes of ASCII stand for themselves in UTF-8, and translating bytes is many times faster.
+    return text.lower().encode().translate(ASCII_SPLIT).decode().split()
 
 
 def all_terms(text: str) -> set[str]:
-    words = word_counts(text)
-    return {t for word in words for t in (word, *(word[:n] + "*" for n in BEGINNINGS if len(word) > n))}
+    return {t for word in set(words_of(text)) for t in (word, *(word[:n] + "*" for n in BEGINNINGS if len(word) > n))}
 
 
 class Vocabulary:
@@ -49,17 +53,17 @@ class Vocabulary:
 
     def __init__(self, chosen: list[str]):
         self.number = {t: i for i, t in enumerate(chosen)}
-        self.words = {t for t in chosen if not t.endswith("*")}
-        self.begins = {n: {t for t in chosen if t.endswith("*") and len(t) == n + 1} for n in BEGINNINGS}
+        # Every term of a word begins as the word does, so most words are told by their first letters alone.
+        self.least = min(BEGINNINGS)
+        self.roots = {t.removesuffix("*")[: self.least] for t in chosen}
 
     def find(self, text: str) -> dict[int, int]:
-        words = word_counts(text)
-        found = {self.number[w]: words[w] for w in self.words & words.keys()}
-        for n, begins in self.begins.items():
-            if begins and begins & {w[:n] + "*" for w in words}:
-                for word, count in words.items():
-                    if len(word) > n and (i := self.number.get(word[:n] + "*")) is not None:
-                        found[i] = found.get(i, 0) + count
+        found: dict[int, int] = {}
+        roots, least = self.roots, self.least
+        for word, count in Counter([w for w in words_of(text) if w[:least] in roots]).items():
+            for term in (word, *(word[:n] + "*" for n in BEGINNINGS if len(word) > n)):
+                if (i := self.number.get(term)) is not None:
+                    found[i] = found.get(i, 0) + count
         return found
 
 
@@ -70,15 +74,24 @@ def unit_vector(found: dict[int, int], idf: np.ndarray) -> tuple[np.ndarray, np.
 
 
 class Index:
-    """Labelled examples by block; a block holds the terms of its examples as a small dense matrix."""
+    """Labelled examples by block; a block holds the terms of its vectors as a small dense matrix.
+
+    Examples with equal term counts are one vector with a number of examples and of toxic ones.
+    """
 
     def __init__(self, chosen: list[str], idf: np.ndarray, examples: list[tuple[str, int, dict[int, int]]], prior: float):
         self.vocabulary, self.idf, self.prior = Vocabulary(chosen), idf, prior
-        vectors = [(name, toxic, *unit_vector(found, idf)) for name, toxic, found in examples]
-        # Examples with the same strongest term stand together, so that a block's bounds are tight.
+        self.remembered: dict[tuple, tuple[float, list[str]]] = {}
+        alike: dict[tuple, list[tuple[str, int]]] = {}
+        for name, toxic, found in examples:
+            alike.setdefault(self.key(found), []).append((name, toxic))
+        vectors = [(min(rows), rows, *unit_vector(dict(key), idf)) for key, rows in alike.items()]
+        # Vectors with the same strongest term stand together, so that a block's bounds are tight.
         vectors.sort(key=lambda v: (int(v[2][v[3].argmax()]), v[0]))
-        self.names = [v[0] for v in vectors]
-        self.toxic = np.array([v[1] for v in vectors], np.float64)
+        # No more than K of a vector's names are ever evidence.
+        self.names = [[name for name, _ in sorted(v[1])[:K]] for v in vectors]
+        self.size = np.array([len(v[1]) for v in vectors], np.int64)
+        self.toxic = np.array([sum(toxic for _, toxic in v[1]) / len(v[1]) for v in vectors], np.float64)
         count = -(-len(vectors) // BLOCK)
         self.block_max = np.zeros((len(chosen), count), np.float32)
         self.blocks = []
@@ -92,30 +105,59 @@ class Index:
             self.block_max[own, b] = np.nextafter(weight.max(axis=1).astype(np.float32), np.float32(2))
             self.blocks.append((own, weight))
 
+    @staticmethod
+    def key(found: dict[int, int]) -> tuple:
+        """Equal for equal unit vectors of counts; how often its only term occurs does not turn a vector."""
+        return tuple(sorted(found.items())) if len(found) > 1 else ((next(iter(found)), 1),)
+
     def nearest(self, found: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
-        """Places and cosines of the K nearest examples with a cosine above 0; ties by place."""
+        """Places and cosines of the vectors nearest first, up to the one that holds the K-th example and its ties."""
         at, weight = unit_vector(found, self.idf)
         bounds = weight @ self.block_max[at]
         order = np.argsort(-bounds, kind="stable")
-        best = np.zeros((0, 2))
+        places, cosines, last = np.zeros(0, np.int64), np.zeros(0), 0.0
         for b in order[: int((bounds > 0).sum())].tolist():
-            if len(best) == K and bounds[b] * (1 + 1e-9) < best[-1, 0]:
+            if bounds[b] * (1 + 1e-9) < last:
                 break
             own, matrix = self.blocks[b]
             place = np.searchsorted(own, at).clip(max=len(own) - 1)
             here = own[place] == at
             cosine = weight[here] @ matrix[place[here]]
-            hit = np.flatnonzero(cosine > 0)
-            best = np.vstack([best, np.column_stack([cosine[hit], b * BLOCK + hit])])
-            best = best[np.lexsort((best[:, 1], -best[:, 0]))[:K]]
-        return best[:, 1].astype(np.int64), best[:, 0]
+            hit = np.flatnonzero((cosine > 0) & (cosine >= last))
+            if not len(hit):
+                continue
+            places, cosines = np.concatenate([places, b * BLOCK + hit]), np.concatenate([cosines, cosine[hit]])
+            best = np.lexsort((places, -cosines))
+            places, cosines = places[best], cosines[best]
+            held = np.cumsum(self.size[places])
+            if held[-1] >= K:
+                last = cosines[np.searchsorted(held, K)]
+                near = cosines >= last
+                places, cosines = places[near], cosines[near]
+        return places, cosines
+
+    def votes(self, cosines: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """How many of the K votes each vector has; vectors tied at the K-th share what is left by their sizes."""
+        tied = cosines == cosines[-1]
+        left = K - sizes[~tied].sum()
+        return np.where(tied, sizes * min(1.0, left / sizes[tied].sum()), sizes)
 
     def score(self, found: dict[int, int]) -> tuple[float, list[str]]:
         if not found or not self.blocks:
             return self.prior, []
-        at, cosine = self.nearest(found)
-        votes = (cosine * self.toxic[at]).sum() + PRIOR_WEIGHT * self.prior
-        return min(1.0, max(0.0, float(votes / (cosine.sum() + PRIOR_WEIGHT)))), [self.names[i] for i in at.tolist()]
+        key = self.key(found)
+        if (known := self.remembered.get(key)) is not None:
+            return known
+        at, cosine = self.nearest(dict(key))
+        result = (self.prior, [])
+        if len(at):
+            weight = cosine * self.votes(cosine, self.size[at])
+            votes = (weight * self.toxic[at]).sum() + PRIOR_WEIGHT * self.prior
+            score = min(1.0, max(0.0, float(votes / (weight.sum() + PRIOR_WEIGHT))))
+            result = score, [name for i in at.tolist() for name in self.names[i]][:K]
+        if len(self.remembered) < REMEMBERED:
+            self.remembered[key] = result
+        return result
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> dict:
@@ -126,7 +168,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     """
     key, label = F.col(f"`{id_col}`"), F.col(f"`{label_col}`")
     chosen = labels.where(key.isNotNull() & label.isNotNull()).groupBy(key.alias("id")).agg(F.max(label).cast("int").alias("toxic"))
-    chosen = chosen.orderBy(F.xxhash64("id"), "id").limit(MAX_EXAMPLES)
+    # The lowest hashes, cut by their expected share first, so that no task sorts more than the bound and a little.
+    share = min(1.0, 1.1 * MAX_EXAMPLES / max(chosen.count(), 1))
+    place = F.pmod(F.xxhash64("id"), F.lit(1 << 30))
+    chosen = chosen.where(place < int(share * (1 << 30))).orderBy(place, "id").limit(MAX_EXAMPLES)
     texts = docs.select(key.alias("id"), F.col(f"`{text_col}`").alias("text"))
     # The chosen ids are MAX_EXAMPLES at most, which bounds the broadcast.
     sample = texts.join(F.broadcast(chosen), "id").select(F.col("id").cast("string"), "toxic", F.coalesce("text", F.lit("")).alias("text"))
@@ -143,6 +188,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     # Copies of a text count once.
     distinct = sample.groupBy(F.xxhash64("text").alias("h")).agg(F.max("toxic").alias("toxic"), F.first("text").alias("text")).select("toxic", "text")
     counts = distinct.mapInArrow(count_terms, "term string, toxic long, clean long").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    shared_dir(docs.sparkSession)
+    counts = counts.checkpoint()
     total = counts.where("term = ''").first()
     toxic, clean = (total.toxic, total.clean) if total else (0, 0)
     if not toxic + clean:

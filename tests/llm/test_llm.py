@@ -316,7 +316,11 @@ def test_toxicity(spark):
             for _, _, other in fitted["examples"]:
                 a, w = toxicity.unit_vector(other, index.idf)
                 every.append(sum(own.get(i, 0) * x for i, x in zip(a.tolist(), w, strict=True)))
-            assert np.allclose(index.nearest(found)[1], sorted((c for c in every if c > 0), reverse=True)[: toxicity.K])
+            places, cosines = index.nearest(found)
+            one_each = np.repeat(cosines, index.size[places])
+            assert np.allclose(one_each[: toxicity.K], sorted((c for c in every if c > 0), reverse=True)[: toxicity.K])
+            assert np.isclose(index.votes(cosines, index.size[places]).sum(), min(toxicity.K, len(one_each)))
+            assert index.score(found) == index.score(found) and len(index.score(found)[1]) == min(toxicity.K, len(one_each))
     assert {r.predicted for r in toxicity.score_toxicity(docs, toxicity.fit_toxicity(docs, labels.where("false"))).collect()} == {1}
 
 
