@@ -95,7 +95,7 @@ SELECT o_orderkey AS invoice_id, o_custkey AS userId,
        CASE WHEN o_orderkey % 7 = 0 THEN 'Wrong Co' ELSE ' ' || upper(o_orderpriority) || ' ' END AS razon_social,
        CASE WHEN o_orderkey % 11 = 0 THEN '000000000000' ELSE '999999999999' END AS rut_receptor,
        CASE WHEN o_orderkey % 13 = 0 THEN 'consulting'
-            ELSE 'Desarrollo Software exonerados IRAE literal S articulo 52 titulo 4' END AS description,
+            ELSE 'Platform Engineering reviewed under Clause 7 of the frame contract' END AS description,
        CAST(o_orderdate AS DATE) AS invoice_date,
        coalesce(m.hours, 8.0) + CASE o_orderkey % 3 WHEN 0 THEN 0.0 WHEN 1 THEN 0.005 ELSE 1.0 END AS amount_of_hours,
        m.hours AS timesheet_hours,
@@ -341,12 +341,11 @@ FROM invoices""",
 SELECT invoice_id, lower(trim(razon_social)) = lower(issuer_company) AS issuer_ok,
        rut_receptor = '999999999999' AS receiver_ok,
        concat_ws(', ',
-         CASE WHEN lower(description) NOT LIKE '%desarrollo%' THEN 'desarrollo' END,
-         CASE WHEN lower(description) NOT LIKE '%software%' THEN 'software' END,
-         CASE WHEN lower(description) NOT LIKE '%exonerados%' THEN 'exonerados' END,
-         CASE WHEN lower(description) NOT LIKE '%irae%' THEN 'irae' END,
-         CASE WHEN lower(description) NOT LIKE '%literal s articulo 52 titulo 4%'
-              THEN 'literal s articulo 52 titulo 4' END) AS missing_keywords
+         CASE WHEN lower(description) NOT LIKE '%engineering%' THEN 'engineering' END,
+         CASE WHEN lower(description) NOT LIKE '%platform%' THEN 'platform' END,
+         CASE WHEN lower(description) NOT LIKE '%reviewed%' THEN 'reviewed' END,
+         CASE WHEN lower(description) NOT LIKE '%clause 7 of the frame contract%'
+              THEN 'clause 7 of the frame contract' END) AS missing_keywords
 FROM invoices LEFT JOIN latest_issuer ON email_key = lower(email)""",
     ),
     "invoice_hours_mtd": _with(
