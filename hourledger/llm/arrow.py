@@ -21,9 +21,8 @@ def kept(key: tuple, build: Callable):
     module = sys.modules.setdefault("_hourledger_worker", types.ModuleType("_hourledger_worker"))
     store = module.__dict__.setdefault("store", {})
     if key not in store:
-        # One model of a kind at a time: a worker that serves many jobs must not pile them up.
-        for old in [k for k in store if k[0] == key[0]]:
-            del store[old]
+        # One model at a time: a worker that serves many jobs must not pile them up.
+        store.clear()
         store[key] = build()
     return store[key]
 

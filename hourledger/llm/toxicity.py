@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hourledger.llm.arrow import blocks, kept, map_texts
+from hourledger.llm.arrow import blocks, kept, map_texts, ragged
 from hourledger.session import shared_dir
 
 #: Labelled rows that the classifier is fitted on, chosen by a hash of their id.
@@ -32,10 +32,14 @@ MAX_TERMS, LEAST_ROWS, LEAST_CHI2 = 4096, 4, 20.0
 BEGINNINGS = (4, 5, 6)
 #: Nearest examples that vote, and examples in a block of the index.
 K, BLOCK = 15, 32
+#: Blocks that a query visits at first; each further visit takes four times as many of those left.
+FIRST_BLOCKS = 8
 #: Weight of the prior beside the votes.
 PRIOR_WEIGHT = 0.25
 #: Results that a worker remembers at most; beyond that it works them out anew.
 REMEMBERED = 200_000
+#: Terms that a task counts before it passes its counts on.
+COUNTED = 100_000
 ASCII_SPLIT = bytes(32 if chr(i) in "\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~!'0123456789" else i for i in range(256))
 
 
@@ -74,7 +78,7 @@ def unit_vector(found: dict[int, int], idf: np.ndarray) -> tuple[np.ndarray, np.
 
 
 class Index:
-    """Labelled examples by block; a block holds the terms of its vectors as a small dense matrix.
+    """Labelled examples in inverted lists, cut into blocks of vectors with bounds of their own.
 
     Examples with equal term counts are one vector with a number of examples and of toxic ones.
     """
@@ -92,18 +96,19 @@ class Index:
         self.names = [[name for name, _ in sorted(v[1])[:K]] for v in vectors]
         self.size = np.array([len(v[1]) for v in vectors], np.int64)
         self.toxic = np.array([sum(toxic for _, toxic in v[1]) / len(v[1]) for v in vectors], np.float64)
+        # Postings by term, then by block; `posted` tells where those of a term in a block begin.
+        lengths = np.array([len(v[2]) for v in vectors], np.int64)
+        term = np.concatenate([np.zeros(0, np.int64), *(v[2] for v in vectors)])
+        place = np.repeat(np.arange(len(vectors)), lengths)
+        weight = np.concatenate([np.zeros(0), *(v[3] for v in vectors)])
+        order = np.lexsort((place, term))
+        self.place, self.weight = place[order], weight[order]
         count = -(-len(vectors) // BLOCK)
+        cell = term[order] * count + self.place // BLOCK
+        self.posted = np.searchsorted(cell, np.arange(len(chosen))[:, None] * count + np.arange(count + 1))
         self.block_max = np.zeros((len(chosen), count), np.float32)
-        self.blocks = []
-        for b in range(count):
-            part = vectors[b * BLOCK : (b + 1) * BLOCK]
-            own = np.unique(np.concatenate([v[2] for v in part]))
-            weight = np.zeros((len(own), len(part)))
-            for column, v in enumerate(part):
-                weight[np.searchsorted(own, v[2]), column] = v[3]
-            # Rounded up, so that single precision never makes a bound too low.
-            self.block_max[own, b] = np.nextafter(weight.max(axis=1).astype(np.float32), np.float32(2))
-            self.blocks.append((own, weight))
+        # Rounded up, so that single precision never makes a bound too low.
+        np.maximum.at(self.block_max.reshape(-1), cell, np.nextafter(self.weight.astype(np.float32), np.float32(2)))
 
     @staticmethod
     def key(found: dict[int, int]) -> tuple:
@@ -114,28 +119,34 @@ class Index:
         """Places and cosines of the vectors nearest first, up to the one that holds the K-th example and its ties."""
         at, weight = unit_vector(found, self.idf)
         bounds = weight @ self.block_max[at]
-        order = np.argsort(-bounds, kind="stable")
-        places, cosines, last = np.zeros(0, np.int64), np.zeros(0), 0.0
-        for b in order[: int((bounds > 0).sum())].tolist():
-            if bounds[b] * (1 + 1e-9) < last:
-                break
-            own, matrix = self.blocks[b]
-            place = np.searchsorted(own, at).clip(max=len(own) - 1)
-            here = own[place] == at
-            cosine = weight[here] @ matrix[place[here]]
+        order = np.argsort(-bounds, kind="stable")[: int((bounds > 0).sum())]
+        places, cosines, last, visited = np.zeros(0, np.int64), np.zeros(0), 0.0, FIRST_BLOCKS
+        while len(order):
+            some, order = order[:visited], order[visited:]
+            visited *= 4
+            here, cosine = self.cosines(at, weight, some)
             hit = np.flatnonzero((cosine > 0) & (cosine >= last))
-            if not len(hit):
-                continue
-            places, cosines = np.concatenate([places, b * BLOCK + hit]), np.concatenate([cosines, cosine[hit]])
+            places, cosines = np.concatenate([places, here[hit]]), np.concatenate([cosines, cosine[hit]])
             best = np.lexsort((places, -cosines))
             places, cosines = places[best], cosines[best]
             held = np.cumsum(self.size[places])
-            if held[-1] >= K:
+            if len(held) and held[-1] >= K:
                 last = cosines[np.searchsorted(held, K)]
                 near = cosines >= last
                 places, cosines = places[near], cosines[near]
+            order = order[bounds[order] * (1 + 1e-9) >= last]
         return places, cosines
 
+    def cosines(self, at: np.ndarray, weight: np.ndarray, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the vectors of some blocks, and their cosines with a query's vector."""
+        first = self.posted[at[:, None], some].ravel()
+        lengths = self.posted[at[:, None], some + 1].ravel() - first
+        posting = ragged(first, lengths)
+        slot = np.repeat(np.tile(np.arange(len(some)), len(at)), lengths) * BLOCK + self.place[posting] % BLOCK
+        product = np.repeat(np.repeat(weight, len(some)), lengths) * self.weight[posting]
+        here = (some[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+        return here, np.bincount(slot, product, len(here))
+
     def votes(self, cosines: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """How many of the K votes each vector has; vectors tied at the K-th share what is left by their sizes."""
         tied = cosines == cosines[-1]
@@ -143,7 +154,7 @@ class Index:
         return np.where(tied, sizes * min(1.0, left / sizes[tied].sum()), sizes)
 
     def score(self, found: dict[int, int]) -> tuple[float, list[str]]:
-        if not found or not self.blocks:
+        if not found or not len(self.size):
             return self.prior, []
         key = self.key(found)
         if (known := self.remembered.get(key)) is not None:
@@ -178,12 +189,21 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
 
     def count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = {0: Counter(), 1: Counter()}
-        for batch in batches:
-            for toxic, text in zip(batch.column("toxic").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                sums[toxic].update(all_terms(text))
+
+        def passed_on() -> pa.RecordBatch:
+            keys = list(sums[0].keys() | sums[1].keys())
+            made = pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), *(pa.array([sums[k][t] for t in keys], pa.int64()) for k in (1, 0))], ["term", "toxic", "clean"])
+            sums[0].clear()
+            sums[1].clear()
+            return made
+
+        for batch in blocks(batches, 1):
+            for toxic, text in zip(batch.column("toxic").to_pylist(), batch.column("text"), strict=True):
+                sums[toxic].update(all_terms(text.as_py()))
                 sums[toxic][""] += 1
-        keys = list(sums[0].keys() | sums[1].keys())
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), *(pa.array([sums[k][t] for t in keys], pa.int64()) for k in (1, 0))], ["term", "toxic", "clean"])
+                if len(sums[0]) + len(sums[1]) > COUNTED:
+                    yield passed_on()
+        yield passed_on()
 
     # Copies of a text count once.
     distinct = sample.groupBy(F.xxhash64("text").alias("h")).agg(F.max("toxic").alias("toxic"), F.first("text").alias("text")).select("toxic", "text")
