@@ -30,22 +30,29 @@ def distinct_count(columns: Sequence[str]) -> Column:
     return F.count_distinct(F.struct(*columns))
 
 
-def layer_count(df: DataFrame, columns: Sequence[str], label: str, layer: str) -> DataFrame:
-    return df.agg(distinct_count(columns).alias("n")).select(
-        F.lit(label).alias("label"), F.lit(layer).alias("layer"), "n"
-    )
+def layer_counts(df: DataFrame, wanted: Sequence[tuple[str, str, Sequence[str]]]) -> DataFrame:
+    """``label, layer, n`` for each ``(label, layer, columns)``, from one scan of ``df``."""
+    counts = df.agg(*[distinct_count(columns).alias(f"n{i}") for i, (_, _, columns) in enumerate(wanted)])
+    rows = [
+        F.struct(F.lit(label).alias("label"), F.lit(layer).alias("layer"), F.col(f"n{i}").alias("n"))
+        for i, (label, layer, _) in enumerate(wanted)
+    ]
+    return counts.select(F.inline(F.array(*rows)))
 
 
 def consistency_report(checks: Sequence[LayerCheck]) -> DataFrame:
-    """``label, raw_count, std_count, status``; one scan per table and layer.
+    """``label, raw_count, std_count, status``; checks of the same frame share its scan.
 
     Only std < raw is a mismatch.
     """
-    counts = [
-        layer_count(df, check.columns, check.label, layer)
-        for check in checks
-        for layer, df in (("raw", check.raw), ("std", check.std))
-    ]
+    scans: list[tuple[DataFrame, list[tuple[str, str, Sequence[str]]]]] = []
+    for check in checks:
+        for layer, df in (("raw", check.raw), ("std", check.std)):
+            wanted = next((wanted for seen, wanted in scans if seen is df or seen.sameSemantics(df)), None)
+            if wanted is None:
+                scans.append((df, wanted := []))
+            wanted.append((check.label, layer, check.columns))
+    counts = [layer_counts(df, wanted) for df, wanted in scans]
 
     def of(layer: str) -> Column:
         return F.max(F.when(F.col("layer") == layer, F.col("n")))

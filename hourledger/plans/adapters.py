@@ -104,13 +104,16 @@ def project_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def time_entries(
-    spark: SparkSession, sf_dir: str, start: str | None = None, end: str | None = None
+    spark: SparkSession, sf_dir: str, start: str | None = None, end: str | None = None, numbered: bool = False
 ) -> DataFrame:
     """Line items as time entries of the ordering customer; some without hours.
 
     A period, if given, is also expressed on the stored timestamp, so that it reaches the scan.
+    ``numbered`` adds an ``id``, different for every entry.
     """
     lines = table(spark, sf_dir, "lineitem")
+    if numbered:
+        lines = lines.withColumn("id", F.monotonically_increasing_id())
     shipped = F.col("l_shipdate")
     if start:
         lines = lines.where(shipped >= F.lit(start).cast("timestamp_ntz"))
@@ -119,6 +122,7 @@ def time_entries(
         lines = lines.where(shipped < F.lit(str(after)).cast("timestamp_ntz"))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        *(["id"] if numbered else []),
         F.col("o_custkey").alias("userId"),
         (F.col("l_partkey") % 500).alias("projectId"),
         shipped.cast("date").alias("entry_date"),

@@ -54,6 +54,10 @@ SELECT userId, total_billable_hours, start_date, end_date, etl_time FROM (
                CASE WHEN CAST(userId AS BIGINT) % 2 = 0 THEN etl_time - INTERVAL '10' DAY
                     ELSE etl_time END AS etl_time
         FROM hours_valid WHERE etl_time >= TIMESTAMP '2024-01-10 00:00:00')) WHERE rn = 1""",
+    "undated_base": """
+SELECT * REPLACE (CASE WHEN CAST(userId AS BIGINT) % 4 <> 0 THEN end_date END AS end_date) FROM merge_base""",
+    "undated_updates": """
+SELECT * REPLACE (CASE WHEN CAST(userId AS BIGINT) % 4 <> 0 THEN end_date END AS end_date) FROM merge_updates""",
     "project_tasks": """
 SELECT p_partkey AS id, p_partkey % 500 AS projectId,
        CASE p_size % 8 WHEN 0 THEN 0 WHEN 1 THEN NULL ELSE 1 END AS isNonBillable
@@ -135,6 +139,8 @@ _READS = {
     "hours_std": ["hours_valid"],
     "merge_base": ["hours_valid"],
     "merge_updates": ["hours_valid"],
+    "undated_base": ["merge_base"],
+    "undated_updates": ["merge_updates"],
     "billable_projects": ["project_tasks"],
     "billable_entries": ["time_entries", "billable_projects"],
     "billable_year": ["billable_entries"],
@@ -165,9 +171,7 @@ def _with(views: list[str], body: str) -> str:
 _USERS_COLUMNS = "id, firstName, lastName, email, etl_time"
 _HOURS_COLUMNS = "userId, total_billable_hours, start_date, end_date, etl_time"
 
-_MERGE = _with(
-    ["merge_base", "merge_updates"],
-    """
+_MERGED = """
 SELECT coalesce(b.userId, u.userId) AS userId,
        CASE WHEN b.userId IS NULL OR u.etl_time > b.etl_time THEN u.total_billable_hours
             ELSE b.total_billable_hours END AS total_billable_hours,
@@ -176,7 +180,15 @@ SELECT coalesce(b.userId, u.userId) AS userId,
        CASE WHEN b.userId IS NULL OR u.etl_time > b.etl_time THEN u.etl_time
             ELSE b.etl_time END AS etl_time
 FROM merge_base b FULL OUTER JOIN merge_updates u
-  ON b.userId = u.userId AND b.start_date = u.start_date AND b.end_date = u.end_date""",
+  ON b.userId = u.userId AND b.start_date = u.start_date AND b.end_date = u.end_date"""
+_MERGE = _with(["merge_base", "merge_updates"], _MERGED)
+_UNDATED = _MERGED.replace("merge_", "undated_")
+_MERGE_NULLS = _with(
+    ["undated_base", "undated_updates"],
+    f"""
+SELECT *, FALSE AS null_safe FROM ({_UNDATED})
+UNION ALL
+SELECT *, TRUE FROM ({_UNDATED.replace("b.end_date = u", "b.end_date IS NOT DISTINCT FROM u")})""",
 )
 
 _COUNTS = """
@@ -201,6 +213,19 @@ SELECT email, razon_social, ruc_emisor, amount_of_hours, rate, description, year
                             ORDER BY invoice_id DESC) AS rn
   FROM {decisions} WHERE failures = '') WHERE rn = 1"""
 
+_ROUNDTRIP = _with(
+    ["invoices"],
+    """
+SELECT email, razon_social, ruc_emisor, amount_of_hours, rate, description, year, month FROM (
+  SELECT lower(email) AS email, razon_social, lpad(CAST(userId AS VARCHAR), 12, '0') AS ruc_emisor,
+         CAST(invoice_id AS DOUBLE) / 4 AS amount_of_hours, rate,
+         description || ' said "done", ' || email AS description,
+         strftime(invoice_date, '%Y') AS year, strftime(invoice_date, '%m') AS month,
+         row_number() OVER (PARTITION BY lower(email), date_trunc('month', invoice_date)
+                            ORDER BY invoice_date >= DATE '1998-06-15' DESC, invoice_id DESC) AS rn
+  FROM invoices) WHERE rn = 1""",
+)
+
 _HOURS_STD = _with(["hours_std"], f"SELECT {_HOURS_COLUMNS} FROM hours_std")
 
 ORACLES: dict[str, str] = {
@@ -247,6 +272,7 @@ SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedpri
     "merge_latest": _MERGE,
     "merge_latest_small": _MERGE,
     "merge_into_std_table": _MERGE,
+    "merge_null_keys": _MERGE_NULLS,
     "qa_consistency": _with(
         _LAYERS,
         f"""
@@ -365,18 +391,8 @@ FROM decisions""",
     ),
     "invoice_store_rows": _with(["decisions"], _STORE.format(decisions="decisions")),
     "invoice_files_to_store": _with(["saved_decisions"], _STORE.format(decisions="saved_decisions")),
-    "invoice_store_roundtrip": _with(
-        ["invoices"],
-        """
-SELECT email, razon_social, ruc_emisor, amount_of_hours, rate, description, year, month FROM (
-  SELECT lower(email) AS email, razon_social, lpad(CAST(userId AS VARCHAR), 12, '0') AS ruc_emisor,
-         CAST(invoice_id AS DOUBLE) / 4 AS amount_of_hours, rate,
-         description || ' said "done", ' || email AS description,
-         strftime(invoice_date, '%Y') AS year, strftime(invoice_date, '%m') AS month,
-         row_number() OVER (PARTITION BY lower(email), date_trunc('month', invoice_date)
-                            ORDER BY invoice_date >= DATE '1998-06-15' DESC, invoice_id DESC) AS rn
-  FROM invoices) WHERE rn = 1""",
-    ),
+    "invoice_store_roundtrip": _ROUNDTRIP,
+    "invoice_table_partitions": _ROUNDTRIP,
     "api_pages_flatten": _with(
         ["project_tasks"],
         """
@@ -391,4 +407,14 @@ SELECT id, firstName, lastName, email, TIMESTAMP '2025-07-07 15:00:00' AS etl_ti
     ),
     "incremental_raw": _HOURS_STD,
     "full_reload": _HOURS_STD,
+    "mixed_modes": _HOURS_STD,
+    "hydrate_to_std": _with(
+        ["billable_year"],
+        """
+SELECT CAST(userId AS VARCHAR) AS userId, round(total_billable_hours, 2) AS total_billable_hours,
+       DATE '1997-01-01' AS start_date, DATE '1997-12-31' AS end_date,
+       'Jul 11, 2025, ✅ Consistency OK for users: Raw: ' || n || ' | Std: ' || n
+       || ', ✅ Consistency OK for billable_hours_summary: Raw: ' || h || ' | Std: ' || h AS log_output
+FROM billable_year, (SELECT COUNT(*) AS n FROM customer), (SELECT COUNT(*) AS h FROM billable_year)""",
+    ),
 }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,7 +15,7 @@ from hourledger.functions.text import is_company_email
 from hourledger.operators import clean, hours, invoices, lookup, merge, quality, report
 from hourledger.operators.latest import latest_per_key
 from hourledger.plans import adapters
-from hourledger.plans.pipeline import PipelineConfig, landing_to_raw, process_invoices, raw_to_std
+from hourledger.plans.pipeline import PipelineConfig, hydrate, landing_to_raw, process_invoices, raw_to_std, run_pipeline
 from hourledger.plans.tables import HOURS, USERS
 from hourledger.session import shared_dir
 from hourledger.sinks import catalog, history, invoice_store, landing, std_table
@@ -124,6 +125,18 @@ def merge_latest_small(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.merge_latest_small(*_merge_inputs(spark, sf_dir), clean.HOURS_KEYS)
 
 
+@query
+def merge_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The merge where a quarter of the users have no end date in their key, compared both ways."""
+    dated = F.when(F.col("userId").cast("bigint") % 4 != 0, F.col("end_date"))
+    std, updates = (side.withColumn("end_date", dated) for side in _merge_inputs(spark, sf_dir))
+    plain, null_safe = (
+        merge.merge_latest(std, updates, clean.HOURS_KEYS, null_safe=safe).withColumn("null_safe", F.lit(safe))
+        for safe in (False, True)
+    )
+    return plain.unionAll(null_safe)
+
+
 @query
 def merge_into_std_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same merge through the versioned, partitioned std table."""
@@ -323,9 +336,8 @@ def invoice_store_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return invoice_store.store_rows(accepted, received="invoice_id")
 
 
-@query
-def invoice_store_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All invoices stored twice, the earlier half of the ids first, and read back."""
+def _store_twice(spark: SparkSession, sf_dir: str, path: str, table: str | None = None) -> None:
+    """All invoices stored in two batches, the earlier ones first."""
     everything = (
         adapters.invoices(spark, sf_dir, with_hours=False)
         .withColumn("amount_of_hours", F.col("invoice_id").cast("double") / 4)
@@ -333,12 +345,26 @@ def invoice_store_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("description", F.concat(F.col("description"), F.lit('\nsaid "done", '), F.col("email")))
     )
     early = F.col("invoice_date") < F.lit("1998-06-15").cast("date")
+    invoice_store.save_accepted(everything.where(early), path, table, received="invoice_id")
+    invoice_store.save_accepted(everything.where(~early), path, table, received="invoice_id")
+
+
+@query
+def invoice_store_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The store after two batches, read by its path."""
     path = _scratch(spark, "invoices")
-    invoice_store.save_accepted(everything.where(early), path, received="invoice_id")
-    invoice_store.save_accepted(everything.where(~early), path, received="invoice_id")
+    _store_twice(spark, sf_dir, path)
     return read_invoice_store(spark, path)
 
 
+@query
+def invoice_table_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same through the catalog: the table's registered partitions."""
+    name = f"invoices_{uuid.uuid4().hex}"
+    _store_twice(spark, sf_dir, _scratch(spark, "invoices"), name)
+    return spark.table(name)
+
+
 @query
 def invoice_files_to_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole invoice job on files and tables: the content of the store afterwards."""
@@ -407,10 +433,12 @@ def _land_hours(spark: SparkSession, sf_dir: str, landings: int) -> list[DataFra
     ]
 
 
-def _load_hours(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
-    cfg = PipelineConfig(_scratch(spark, mode), f"hourledger_{uuid.uuid4().hex}", mode)
+def _load_hours(spark: SparkSession, sf_dir: str, *modes: str) -> DataFrame:
+    """One landing and one run for each mode; the std hours afterwards."""
+    cfg = PipelineConfig(_scratch(spark, "hours"), f"hourledger_{uuid.uuid4().hex}")
     catalog.create_database(spark, cfg.database)
-    for number, part in enumerate(_land_hours(spark, sf_dir, 3)):
+    for number, (part, mode) in enumerate(zip(_land_hours(spark, sf_dir, len(modes)), modes)):
+        cfg = replace(cfg, mode=mode)
         landing.write_landing(part, cfg.landing(HOURS), RUN_TS.replace(second=number))
         landing_to_raw(spark, cfg, HOURS)
         raw_to_std(spark, cfg, HOURS)
@@ -421,10 +449,38 @@ def _load_hours(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
 @query
 def incremental_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three landings, each streamed into raw and merged into std."""
-    return _load_hours(spark, sf_dir, "incremental")
+    return _load_hours(spark, sf_dir, "incremental", "incremental", "incremental")
 
 
 @query
 def full_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same in batch mode: every run re-reads all landings; std is not affected."""
-    return _load_hours(spark, sf_dir, "full")
+    return _load_hours(spark, sf_dir, "full", "full", "full")
+
+
+@query
+def mixed_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batch mode between two streamed landings loses none of them."""
+    return _load_hours(spark, sf_dir, "incremental", "full", "incremental")
+
+
+@query
+def hydrate_to_std(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page dumps of users, tasks and time entries through all layers: the std hours and the check's line."""
+    cfg = PipelineConfig(_scratch(spark, "hydrate"), f"hourledger_{uuid.uuid4().hex}")
+    users = adapters.table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("firstName"),
+        F.col("c_name").alias("lastName"), F.lower(adapters.dotted("c_name")).alias("email"),
+    )
+    entries = adapters.time_entries(spark, sf_dir, numbered=True)
+    dumps = {
+        "users": users,
+        "project-tasks": adapters.project_tasks(spark, sf_dir),
+        "time-entries": entries.withColumn("date", F.col("entry_date").cast("string")).drop("entry_date"),
+    }
+    for kind, items in dumps.items():
+        _pages(items, "id").write.json(f"{cfg.root}/pages/{kind}")
+    hydrate(spark, cfg, f"{cfg.root}/pages", *PERIOD, RUN_TS)
+    line = run_pipeline(spark, cfg, REPORT_DAY)
+    std = std_table.read_std(spark, cfg.std_table(HOURS), HOURS)
+    return std.drop("etl_time").withColumn("log_output", F.lit(line))
