@@ -238,10 +238,11 @@ def near_groups(docs: DataFrame, k: int = 3, percent: int = 90, id_col: str = "d
     signed = _signatures(texts, k, percent, sketch, boundary).checkpoint()
     linkable = signed.where("id is not null and n > 0")
     # Equal sets are one node, named by the smallest id.
-    nodes = linkable.groupBy("n", "f1", "f2").agg(F.min("id").alias("node"), F.first("bins").alias("bins"), F.first("lists").alias("lists"), F.first("pairs").alias("pairs"))
+    nodes = linkable.groupBy("n", "f1", "f2").agg(F.min("id").alias("node"), F.first("bins").alias("bins"), F.first("lists").alias("lists"), F.first("pairs").alias("pairs")).checkpoint()
     large = nodes.select("node", "n", F.explode("lists").alias("key"), F.lit(False).alias("pair"))
     small = nodes.select("node", "n", F.explode("pairs").alias("key"), F.lit(True).alias("pair"))
-    postings = large.unionByName(small).checkpoint()
+    # Made anew where they are read: as rows they take several times the room of the nodes' arrays.
+    postings = large.unionByName(small)
     # A list of small sets only says nothing that their pairs do not say.
     lists = postings.groupBy("key", "pair").agg(F.min("node").alias("first"), F.max("node").alias("last"), F.max("n").alias("most"), F.count("*").alias("members"))
     lists = lists.where((F.col("first") < F.col("last")) & (F.col("pair") | (F.col("most") > boundary))).select("key", "pair", "members")
