@@ -6,8 +6,8 @@ the encoder made of each text. Empty tables pass as empty tables.
 
 - language: texts that are null, empty or without letters, or whose best language has a posterior
   below MIN_LANGUAGE_SCORE, go. The languages are learned from the stage's own rows.
-- toxicity: texts that the nearest labelled examples call toxic go. A table without labels, or none
-  of the stage's rows labelled, rejects nothing.
+- toxicity: texts that the nearest labelled examples call toxic go. A text that no example is near
+  stays, so a table without labels, or none of the stage's rows labelled, rejects nothing.
 - near duplicates: of each group linked by a similarity of 0.8 on five-word shingles the row with the
   smallest id stays, one row if several share it. Texts without words and rows with a null id have no
   group and stay.
@@ -47,7 +47,9 @@ def keep_readable(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def keep_civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").where(to_learn_from("doc_id", 5, 0))
     judged = score_toxicity(docs, fit_toxicity(docs, labels), carry=docs.columns, prefix=OWN)
-    return judged.where(F.coalesce(F.col(f"{OWN}predicted"), F.lit(0)) == 0).select(docs.columns)
+    # A score without evidence is the prior, which says nothing of the text.
+    caught = (F.col(f"{OWN}predicted") == 1) & (F.size(f"{OWN}evidence") > 0)
+    return judged.where(~F.coalesce(caught, F.lit(False))).select(docs.columns)
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

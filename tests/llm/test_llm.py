@@ -377,3 +377,11 @@ def test_pipeline_stages(spark, tmp_path):
         assert stage(spark, docs.where("false"), sf).count() == 0
     again = docs.unionAll(docs)
     assert corpus_pipeline.STAGES[2][1](spark, again, sf).count() == docs.count()
+
+
+@pytest.mark.parametrize("labelled", [[], [(9999, 1)], [(None, 1), (3, None)], [(0, 1)], [(i, 1) for i in range(10)]])
+def test_civil_stage_keeps_what_no_example_is_near(spark, tmp_path, labelled):
+    docs = frame(spark, [f"text number {i} of {'many' if i % 2 else 'some'} words" for i in range(20)] + [None, ""])
+    spark.createDataFrame(labelled, "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    kept = corpus_pipeline.keep_civil(spark, docs, str(tmp_path))
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(22))
