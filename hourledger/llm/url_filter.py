@@ -2,14 +2,18 @@
 
 A tree is grown level by level for all hosts at once. At a node, a segment that holds a fair share
 of the node's pages stays as it is; the others are variable and become wildcards by shape, digits
-and letters. Sibling branches are then merged while their labelled shares are statistically alike,
-and a template is rejected if the smoothed share of bad labels of its branch is high.
+and letters. Siblings under one parent are then merged while their labelled shares are statistically
+alike, and a template is rejected if the smoothed share of bad labels along its path is high.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hourledger.operators.reduced import join_reduced
 from hourledger.session import shared_dir
@@ -19,7 +23,9 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 MAX_DEPTH = 6
 #: A segment with at least this share of its node's pages is not variable.
 LITERAL_SHARE = 0.05
-#: Branches whose shares differ by less than so many standard errors are merged.
+#: Stands for the parent of a host's root; every node but the root begins with a slash.
+ROOT = "root"
+#: Siblings whose shares differ by less than so many standard errors are merged.
 ALIKE = 1.96
 #: Labels that the prior share of bad pages counts as.
 PRIOR_WEIGHT = 4.0
@@ -73,28 +79,85 @@ def templates(pages: DataFrame) -> DataFrame:
     return rows.drop("__segments", "__segment")
 
 
+def mark_branches(nodes: DataFrame) -> DataFrame:
+    """`nodes` (host, parent, node, end, share, n, bad) with the number of each node's branch among its siblings.
+
+    Siblings are visited in the order of their shares, in one pass. A node joins the branch before it only
+    if it is statistically alike with the branch's pooled labels and with its members, of which those
+    without a lower one of as many labels are compared; else it begins a branch.
+    """
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        family, branch, n, bad, low = None, 0, 0, 0, []
+        for batch in batches:
+            numbers = []
+            columns = [batch.column(c).to_pylist() for c in ("host", "parent", "share", "n", "bad", "prior")]
+            for host, parent, share, own_n, own_bad, prior in zip(*columns, strict=True):
+                if (host, parent) != family:
+                    family, branch, n, bad, low = (host, parent), 0, 0, 0, []
+                pooled = ((bad + PRIOR_WEIGHT * prior) / (n + PRIOR_WEIGHT), n)
+                if low and any(apart(share, own_n, *other) for other in (pooled, *low)):
+                    branch, n, bad, low = branch + 1, 0, 0, []
+                n, bad = n + own_n, bad + own_bad
+                if not low or own_n > low[-1][1]:
+                    low.append((share, own_n))
+                numbers.append(branch)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(numbers, pa.int64())], [*kept, "branch"])
+
+    kept = ["host", "parent", "node", "end", "n", "bad"]
+    schema = T.StructType([nodes.schema[c] for c in kept]).add("branch", T.LongType())
+    return nodes.repartition("host", "parent").sortWithinPartitions("host", "parent", "share", "node", "end").mapInArrow(mark, schema)
+
+
+def apart(share: float, n: int, share0: float, n0: int) -> bool:
+    """Whether two smoothed shares differ by more than chance explains."""
+    w, w0 = n + PRIOR_WEIGHT, n0 + PRIOR_WEIGHT
+    pooled = (share * w + share0 * w0) / (w + w0)
+    return abs(share - share0) > ALIKE * (pooled * (1 - pooled) * (1 / w + 1 / w0)) ** 0.5
+
+
 def branches(labelled: DataFrame) -> DataFrame:
-    """host, template, branch, n, bad and the branch's smoothed share of bad labels.
+    """host, template, n, bad and the smoothed share of bad labels of every template.
 
-    `labelled` holds host, template and bad (boolean or null) of each page. Templates of a host are
-    its leaves; they are few, since variable segments are wildcards. In the order of their shares,
-    a template joins the branch of the one before it while the two are statistically alike.
+    `labelled` holds host, template and bad (boolean or null) of each page. Every prefix of a template is
+    a node of its host's tree; where pages end at a node that others pass, these pages are a child of
+    their own. Labelled siblings that are alike are one branch. A template's share starts from that of
+    all labels and is led down its path: each level adds the labels of its branch that are not in the
+    next one, so every label counts once and templates with few labels lean on those nearest to them.
     """
-    leaves = labelled.groupBy("host", "template").agg(F.count("bad").alias("n"), F.count_if("bad").alias("bad"))
+    shared_dir(labelled.sparkSession)
+    leaves = labelled.groupBy("host", "template").agg(F.count("bad").alias("n"), F.count_if("bad").alias("bad")).checkpoint()
     total = leaves.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
     prior = ((total.bad or 0) + 1) / ((total.n or 0) + 2)
+    parts = F.split("template", "/")
+    levels = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.struct(k.alias("level"), F.array_join(F.slice(parts, 1, k), "/").alias("node")))
+    paths = leaves.select("host", "template", "n", "bad", F.inline(levels))
+    here = F.col("node") == F.col("template")
+    counted = paths.groupBy("host", "node").agg(
+        F.sum("n").alias("n"), F.sum("bad").alias("bad"), (F.bool_or(here) & F.bool_or(~here)).alias("mixed"),
+        F.sum(F.when(here, F.col("n")).otherwise(0)).alias("own_n"), F.sum(F.when(here, F.col("bad")).otherwise(0)).alias("own_bad"),
+    )
+    # The root has no parent, and no siblings on other hosts.
+    above = F.when(F.col("node") == "", ROOT).otherwise(F.regexp_replace("node", "(?s)/[^/]*$", ""))
+    whole = F.struct(above.alias("parent"), F.lit(False).alias("end"), F.col("n"), F.col("bad"))
+    own = F.struct(F.col("node").alias("parent"), F.lit(True).alias("end"), F.col("own_n").alias("n"), F.col("own_bad").alias("bad"))
+    nodes = counted.select("host", "node", F.inline(F.when(F.col("mixed"), F.array(whole, own)).otherwise(F.array(whole)))).where("n > 0")
     share = (F.col("bad") + PRIOR_WEIGHT * prior) / (F.col("n") + PRIOR_WEIGHT)
-    order = Window.partitionBy("host").orderBy("share", "template")
-    pooled = (F.col("bad") + F.col("bad0") + 2 * PRIOR_WEIGHT * prior) / (F.col("n") + F.col("n0") + 2 * PRIOR_WEIGHT)
-    error = F.sqrt(pooled * (1 - pooled) * (1 / (F.col("n") + PRIOR_WEIGHT) + 1 / (F.col("n0") + PRIOR_WEIGHT)))
-    apart = F.coalesce(F.col("share") - F.col("share0") > ALIKE * error, F.lit(True)).cast("int")
-    ranked = leaves.withColumn("share", share)
-    for name in ("share", "n", "bad"):
-        ranked = ranked.withColumn(f"{name}0", F.lag(name).over(order))
-    ranked = ranked.withColumn("branch", F.sum(apart).over(order))
-    merged = ranked.groupBy("host", "branch").agg(F.sum("n").alias("branch_n"), F.sum("bad").alias("branch_bad"))
-    purity = (F.col("branch_bad") + PRIOR_WEIGHT * prior) / (F.col("branch_n") + PRIOR_WEIGHT)
-    return ranked.select("host", "branch", "template", "n", "bad").join(merged.withColumn("bad_share", purity), ["host", "branch"])
+    marked = mark_branches(nodes.withColumn("share", share).withColumn("prior", F.lit(prior))).checkpoint()
+    keys = ["host", "parent", "branch"]
+    sums = marked.groupBy(keys).agg(F.sum("n").alias("branch_n"), F.sum("bad").alias("branch_bad"))
+    merged = join_reduced(marked, sums, keys).select("host", "node", "end", "branch_n", "branch_bad")
+    steps = paths.select("host", "template", "level", "node", F.explode(F.when(here, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))).alias("end"))
+    step = F.struct("level", "end", "branch_n", "branch_bad")
+    led = join_reduced(steps, merged, ["host", "node", "end"]).where("branch_n is not null").groupBy("host", "template").agg(F.array_sort(F.collect_list(step)).alias("steps"))
+
+    def rest(name: str):
+        return lambda x, i: x[name] - F.coalesce(F.get("steps", i + 1)[name], F.lit(0))
+
+    only = F.arrays_zip(F.transform("steps", rest("branch_n")).alias("n"), F.transform("steps", rest("branch_bad")).alias("bad"))
+    lead = F.aggregate(only, F.lit(prior), lambda s, x: (x["bad"] + PRIOR_WEIGHT * s) / (x["n"] + PRIOR_WEIGHT))
+    shares = led.select("host", "template", lead.alias("bad_share"))
+    return join_reduced(leaves, shares, ["host", "template"]).withColumn("bad_share", F.coalesce("bad_share", F.lit(prior)))
 
 
 def filter_urls(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str, str]], id_col: str = "page_id", url_col: str = "url") -> DataFrame:

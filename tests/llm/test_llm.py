@@ -247,6 +247,24 @@ def test_urls(spark):
     assert url_filter.filter_urls(pages.where("false"), labels.where("false"), rules).count() == 0
 
 
+def test_url_branches_of_a_dense_range_of_shares(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = [("h", f"/{letters[i // 26]}{letters[i % 26]}", j < 5 * i) for i in range(41) for j in range(200)]
+    rows += [("few", f"/s{i}", j * 11 < 30 * i) for i in range(12) for j in range(30)]
+    rows += [("deep", "/bad/{n}/x", True)] * 40 + [("deep", "/good/{n}/x", False)] * 40 + [("deep", "/bad/{n}/y", None), ("deep", "/bad", None), ("deep", "/good", None)]
+    rows += [("ends", "/a", True)] * 40 + [("ends", "/a/b", False)] * 40 + [("unknown", "", None)]
+    got = {(r.host, r.template): r for r in url_filter.branches(spark.createDataFrame(rows, "host string, template string, bad boolean").repartition(5)).collect()}
+    assert len(got) == len({r[:2] for r in rows})
+    for (host, _), r in got.items():
+        if host in ("h", "few"):
+            assert abs(r.bad_share - r.bad / r.n) < (0.12 if host == "h" else 0.3)
+    assert got["few", "/s0"].bad_share < 0.2 and got["few", "/s11"].bad_share > 0.8
+    # Without labels of its own a template has the share of the nearest node that has some.
+    assert got["deep", "/bad/{n}/y"].bad_share > 0.9 > 0.1 > got["deep", "/good"].bad_share
+    assert got["ends", "/a"].bad_share > 0.9 and got["ends", "/a/b"].bad_share < 0.1
+    assert got["unknown", ""].bad_share == pytest.approx(sum(bool(r[2]) for r in rows) / sum(r[2] is not None for r in rows), abs=0.01)
+
+
 def test_top_k_is_that_of_all_pairs(spark):
     rng = np.random.default_rng(2)
     rows = [(i, rng.normal(size=8).tolist()) for i in range(300)] + [(300 + i, [0.5] * 8) for i in range(60)]
