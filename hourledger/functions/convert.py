@@ -13,6 +13,13 @@ def to_number(column: Column) -> Column:
     return column.try_cast("double")
 
 
+def to_flag(column: Column) -> Column:
+    """Text of a whole number (``1``, ``1.0``) or of a truth value to an integer."""
+    number = to_number(column)
+    truth = F.when(F.lower(F.trim(column)) == "true", 1).when(F.lower(F.trim(column)) == "false", 0)
+    return F.coalesce(truth, F.when(number == F.floor(number), number.try_cast("int")))
+
+
 def to_day(column: Column) -> Column:
     return column.try_cast("date")
 

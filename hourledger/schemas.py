@@ -21,15 +21,15 @@ HOURS_LANDING = _strings("userId", "total_billable_hours", "start_date", "end_da
 _META = T.StructField("meta", T.StructType([T.StructField("totalRows", T.LongType())]))
 
 
-def _page(item: T.StructType) -> T.StructType:
+def page_of(item: T.StructType) -> T.StructType:
     return T.StructType([T.StructField("data", T.ArrayType(item)), _META])
 
 
 # What counting the rows of a page takes; all other fields are skipped unread.
-COUNTED_PAGE = _page(_strings("id"))
+COUNTED_PAGE = page_of(_strings("id"))
 
-USERS_PAGE = _page(_strings("id", "firstName", "lastName", "email"))
-TASKS_PAGE = _page(
+USERS_PAGE = page_of(_strings("id", "firstName", "lastName", "email"))
+TASKS_PAGE = page_of(
     T.StructType(
         [
             T.StructField("id", T.StringType()),
@@ -38,7 +38,7 @@ TASKS_PAGE = _page(
         ]
     )
 )
-ENTRIES_PAGE = _page(
+ENTRIES_PAGE = page_of(
     T.StructType(
         [
             T.StructField("id", T.StringType()),

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,16 +16,51 @@ class IncompletePages(RuntimeError):
     """The pages do not add up to the announced number of rows."""
 
 
-def read_pages(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
-    """Pages under ``path``. ``multi_line`` is for pretty-printed pages, one file each."""
+class UnreadableValues(RuntimeError):
+    """Numbers or flags of the pages cannot be read."""
+
+
+def _items(schema: T.StructType) -> T.StructType:
+    return schema["data"].dataType.elementType
+
+
+def _numbers(schema: T.StructType) -> list[T.StructField]:
+    """The fields of an item that are not text."""
+    return [field for field in _items(schema) if not isinstance(field.dataType, T.StringType)]
+
+
+def _read_text(spark: SparkSession, path: str, items: T.StructType, multi_line: bool) -> DataFrame:
+    """Pages with every field of their items as text, whatever its type in JSON."""
+    text = T.StructType([T.StructField(name, T.StringType()) for name in items.names])
     return (
-        spark.read.schema(schema)
+        spark.read.schema(schemas.page_of(text))
         .option("recursiveFileLookup", "true")
         .option("multiLine", str(multi_line).lower())
         .json(path)
     )
 
 
+def _typed(value: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.StringType):
+        return value
+    return convert.to_flag(value) if isinstance(kind, T.IntegerType) else convert.to_number(value)
+
+
+def read_pages(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
+    """Pages under ``path``. ``multi_line`` is for pretty-printed pages, one file each.
+
+    Numbers and flags may be sent as text; one that cannot be read is NULL here and fails `read_complete_pages`.
+    """
+    pages, fields = _read_text(spark, path, _items(schema), multi_line), _items(schema)
+    if not _numbers(schema):
+        return pages
+
+    def typed(item: Column) -> Column:
+        return F.when(item.isNotNull(), F.struct(*(_typed(item[f.name], f.dataType).alias(f.name) for f in fields)))
+
+    return pages.withColumn("data", F.transform("data", typed))
+
+
 def flatten_pages(pages: DataFrame) -> DataFrame:
     """One row per item of ``data``."""
     return pages.select(F.explode("data").alias("item")).select("item.*")
@@ -34,8 +71,8 @@ def flatten_entries(pages: DataFrame) -> DataFrame:
     return flatten_pages(pages).withColumn("entry_date", convert.to_day(F.col("date"))).drop("date")
 
 
-def page_totals(pages: DataFrame) -> DataFrame:
-    """One row: rows delivered, rows announced, whether they agree. Unreadable pages count 0.
+def page_totals(pages: DataFrame, also: Sequence[Column] = ()) -> DataFrame:
+    """One row: rows delivered, rows announced, whether they agree, and `also`. Unreadable pages count 0.
 
     They agree if every page announces the same number and so many different ids were delivered:
     a repeated page must not make up for a missing one. Items without an id count as different.
@@ -46,25 +83,31 @@ def page_totals(pages: DataFrame) -> DataFrame:
         F.coalesce(F.max("total"), F.lit(0)).alias("announced"),
         F.coalesce(F.min("total"), F.lit(0)).alias("least"),
         (F.count_distinct("item.id") + F.count("pos") - F.count("item.id")).alias("ids"),
+        F.struct(F.lit(0).alias("none"), *also).alias("also"),
     )
     agree = (F.col("delivered") == F.col("announced")) & (F.col("ids") == F.col("announced")) & (F.col("least") == F.col("announced"))
-    return counts.select("delivered", "announced", agree.alias("complete"))
+    return counts.select("delivered", "announced", agree.alias("complete"), *(["also"] if also else []))
 
 
-def require_complete(pages: DataFrame) -> None:
-    """Fail the load when pages are missing or were landed twice."""
-    totals = page_totals(pages).first()
+def require_complete(pages: DataFrame, numbers: Sequence[T.StructField] = ()) -> None:
+    """Fail the load when pages are missing or were landed twice, or when values of `numbers`, read as text, are no numbers."""
+    lost = [F.count_if(F.col(f"item.{f.name}").isNotNull() & _typed(F.col(f"item.{f.name}"), f.dataType).isNull()).alias(f.name) for f in numbers]
+    totals = page_totals(pages, lost).first()
     if not totals["complete"]:
         raise IncompletePages(f"{totals['delivered']} rows in the pages, {totals['announced']} announced, or ids repeated")
+    if found := {f.name: totals["also"][f.name] for f in numbers if totals["also"][f.name]}:
+        raise UnreadableValues(", ".join(f"{n} unreadable values of {name}" for name, n in found.items()))
 
 
 def read_complete_pages(
     spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False
 ) -> DataFrame:
-    """Pages under ``path``, once their rows are known to add up.
+    """Pages under ``path``, once their rows are known to add up and their numbers and flags to be readable.
 
-    Counting is a pass of its own that reads ids only. Counting while loading would save it, but
+    Counting is a pass of its own that reads ids, numbers and flags only. Counting while loading would save it, but
     metrics of a plan with shuffles count twice what is computed twice after a lost executor.
     """
-    require_complete(read_pages(spark, path, schemas.COUNTED_PAGE, multi_line))
+    numbers = _numbers(schema)
+    counted = T.StructType([*_items(schemas.COUNTED_PAGE), *numbers])
+    require_complete(_read_text(spark, path, counted, multi_line), numbers)
     return read_pages(spark, path, schema, multi_line)

@@ -112,6 +112,28 @@ def test_unreadable_page_fails_the_load(spark, folder):
         api_pages.read_complete_pages(spark, folder, schemas.USERS_PAGE)
 
 
+def test_numbers_and_flags_of_any_json_type_are_read(spark, folder):
+    flags = [0, 1, "0", "1", 1.0, 0.0, True, False, "true", None]
+    page(f"{folder}/tasks/1.json", [{"id": i, "projectId": i, "isNonBillable": flag} for i, flag in enumerate(flags)] + [{"id": "x", "projectId": "x"}, None], 12)
+    tasks = api_pages.flatten_pages(api_pages.read_complete_pages(spark, f"{folder}/tasks", schemas.TASKS_PAGE))
+    assert dict(tasks.dtypes)["isNonBillable"] == "int"
+    assert rows(tasks.where("id is not null and isNonBillable <> 0"), "id") == [("1",), ("3",), ("4",), ("6",), ("8",)]
+    assert rows(tasks.where("isNonBillable is null"), "id") == [("9",), ("x",), (None,)]
+    page(f"{folder}/entries/1.json", [{"id": 1, "decimalHours": "7.5"}, {"id": 2, "decimalHours": 2}, {"id": 3, "decimalHours": None}], 3)
+    entries = api_pages.flatten_entries(api_pages.read_complete_pages(spark, f"{folder}/entries", schemas.ENTRIES_PAGE))
+    assert rows(entries, "id", "decimalHours") == [("1", 7.5), ("2", 2.0), ("3", None)]
+
+
+@pytest.mark.parametrize("schema, name, values", [
+    (schemas.TASKS_PAGE, "isNonBillable", ["yes", "", 0.5, 1e12, {"x": 1}]),
+    (schemas.ENTRIES_PAGE, "decimalHours", ["7,5", "", True, [1]]),
+])
+def test_unreadable_values_fail_the_load(spark, folder, schema, name, values):
+    page(f"{folder}/1.json", [{"id": i, name: value} for i, value in enumerate([*values, 1, None])], len(values) + 2)
+    with pytest.raises(api_pages.UnreadableValues, match=f"^{len(values)} unreadable values of {name}$"):
+        api_pages.read_complete_pages(spark, folder, schema)
+
+
 def test_pretty_printed_pages(spark, folder):
     write(f"{folder}/1.json", json.dumps({"data": [{"projectId": 5, "isNonBillable": None}], "meta": {"totalRows": 1}}, indent=1))
     pages = api_pages.read_complete_pages(spark, folder, schemas.TASKS_PAGE, multi_line=True)
