@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hourledger.llm.alignment import align_tokens
 from hourledger.llm.arrow import held_out, to_learn_from
 from hourledger.llm.bpe import encode_decode
 from hourledger.llm.chat import conversation_digests, format_conversations, text_part
@@ -14,10 +15,13 @@ from hourledger.llm.decontaminate import contamination
 from hourledger.llm.languages import fit_languages, identify
 from hourledger.llm.lm import fit_lm, score_lm
 from hourledger.llm.ngram_join import near_groups
+from hourledger.llm.staging import scratch
 from hourledger.llm.token_counts import count_tokens
 from hourledger.llm.topk import top_k
 from hourledger.llm.toxicity import fit_toxicity, score_toxicity
 from hourledger.llm.url_filter import filter_urls
+from hourledger.llm.warc import read_warc, resolve_revisits, write_warc
+from hourledger.llm.whitening import whiten
 
 
 def tokenizer_path(name: str) -> str:
@@ -94,8 +98,23 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), labels, RULES)
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokens(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"), digest=True)
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch(spark, "warc")
+    records = read_warc(spark, folder, write_warc(table(spark, sf_dir, "pages"), folder))
+    page = lambda c: F.col(c).cast("long")
+    return resolve_revisits(records).select(page("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", page("refers_to").alias("refers_to"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_lm_score, op2_token_counts, op3_decontamination, op4_ngram_join, op5_url_filter, op6_language_id, op7_toxicity, op8_top_k, op9_bpe, op10_chat_format)
+    f.__name__: f for f in (op1_lm_score, op2_token_counts, op3_decontamination, op4_ngram_join, op5_url_filter, op6_language_id, op7_toxicity, op8_top_k, op9_bpe, op10_chat_format, op11_token_alignment, op12_whitening, op13_warc)
 }
 
 ORACLES: dict[str, str] = {
@@ -152,4 +171,17 @@ ORACLES: dict[str, str] = {
             CAST(sum(n) AS BIGINT) AS formatted_chars
         FROM e GROUP BY conv_id
     """,
+    "op13_warc": """
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS h FROM pages
+        ), d AS (
+            SELECT page_id, strlen(h) AS n, sha1(h) AS hex, max(page_id) OVER (PARTITION BY h) AS top FROM p
+        )
+        SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
+            array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                CAST(1 + ((CAST('0x' || substr(hex, 5 * (i // 4) + 1, 5) AS INTEGER) >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31) AS BIGINT), 1)), '') AS payload_digest,
+            CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+            CASE WHEN page_id <> top THEN top END AS refers_to
+        FROM d
+    """,
 }

@@ -1,0 +1,147 @@
+"""Token alignment against the libraries and a plain walk over both token lists."""
+
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+pytest.importorskip("hourledger.llm.queries")
+
+from hourledger.llm import alignment
+from hourledger.llm.queries import op11_token_alignment, table, tokenizer_path
+
+A_PATH, B_PATH = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
+SCHEMA = "doc_id long, text string, n_a string, block int, links string"
+
+
+def awkward_texts():
+    rng = random.Random(11)
+    texts = [None, "", " ", "  ", "a", "a ", "  a  b ", "<|endoftext|> <s> <unk>", "x\n  y", "▁x", "'s 's  's", "日本語" * 500, "a" * 3000, "ab " * 3000, "\r\n\x85  \x1c z"]
+    for letters in ("abcdeéthnSß,.\n'▁日🙂сл0123!?́  \t\r\x85  \x1c<s>", "abé, .\n'日🙂0! \t  "):
+        texts += ["".join(rng.choice(letters) for _ in range(rng.randint(0, 200))) for _ in range(120)]
+    return texts + ["the same text"] * 4
+
+
+class Walk:
+    """Whole texts by the libraries, one by one."""
+
+    def __init__(self):
+        import sentencepiece
+        from tokenizers import Tokenizer
+
+        self.a = Tokenizer.from_file(A_PATH)
+        self.a.encode_special_tokens = True
+        self.b = sentencepiece.SentencePieceProcessor(model_file=B_PATH)
+        with open(A_PATH, encoding="utf-8") as a, open(B_PATH, "rb") as b:
+            self.bytes = alignment.Encoders(a.read(), b.read()).bytes
+
+    def __call__(self, text):
+        """Ids of both sides, groups and a list of links."""
+        if not text:
+            return [], [], [], []
+        a, b = self.a.encode(" " + text, add_special_tokens=False).ids, self.b.encode(text)
+        names = [[side[i] for i in ids] for side, ids in zip(self.bytes, (a, b), strict=True)]
+        if any(b"".join(x) != (" " + text).encode() for x in names):
+            return [], [], [], []
+        ends = [np.cumsum([len(x) for x in side]).tolist() for side in names]
+        groups, i, j = [], 0, 0
+        for cut in sorted(set(ends[0]) & set(ends[1])):
+            to_i, to_j = ends[0].index(cut, i) + 1, ends[1].index(cut, j) + 1
+            groups.append((a[i:to_i], b[j:to_j]))
+            i, j = to_i, to_j
+        linked, first = [], 0
+        for i, end in enumerate(ends[0]):
+            while ends[1][first] <= end - len(names[0][i]):
+                first += 1
+            j = first
+            while j < len(b) and ends[1][j] - len(names[1][j]) < end:
+                linked.append((a[i], b[j]))
+                j += 1
+        return a, b, groups, linked
+
+
+def expected(texts):
+    walk = Walk()
+    found = [walk(t) for t in texts]
+    counts = Counter(pair for *_, linked in found for pair in set(linked))
+    most = Counter()
+    for (a, _), n in counts.items():
+        most[a] = max(most[a], n)
+    for a, b, groups, linked in found:
+        written = ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in groups)
+        yield len(a), len(b), len(groups), len(linked), sum(counts[p] == most[p[0]] for p in linked), sum(counts[p] for p in linked), written
+
+
+NUMBERS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
+
+
+def test_alignment_is_that_of_a_plain_walk(spark, monkeypatch):
+    texts = awkward_texts()
+    docs = spark.createDataFrame([(i, t, "x", 3, "y") for i, t in enumerate(texts)], SCHEMA).repartition(5)
+    got = {r.doc_id: r for r in alignment.align_tokens(docs, A_PATH, B_PATH).collect()}
+    for i, want in enumerate(expected(texts)):
+        assert tuple(got[i][c] for c in NUMBERS) + (got[i].groups,) == want, texts[i]
+
+
+def test_digest_and_carried_columns_of_clashing_names(spark):
+    texts = ["ab 12 cd", None, "ab 12 cd", "", "▁"]
+    docs = spark.createDataFrame([(None if i == 2 else 0, t, "x", 3, "y") for i, t in enumerate(texts)], SCHEMA)
+    with pytest.raises(ValueError, match="n_a"):
+        alignment.align_tokens(docs, A_PATH, B_PATH, carry=["doc_id", "n_a"])
+    got = alignment.align_tokens(docs, A_PATH, B_PATH, carry=["doc_id", "n_a", "block", "links", "text"], prefix="own_", digest=True).collect()
+    want = list(expected(texts))
+    assert len(got) == 5
+    for r in got:
+        own = want[texts.index(r.text)]
+        assert (r.n_a, r.block, r.links) == ("x", 3, "y")
+        assert tuple(r["own_" + c] for c in NUMBERS) == own[:-1]
+        assert r.own_groups_sha256 == (hashlib.sha256(own[-1].encode()).hexdigest() if own[-1] else "")
+
+
+def test_empty_table(spark):
+    assert alignment.align_tokens(spark.createDataFrame([], SCHEMA), A_PATH, B_PATH).collect() == []
+
+
+def test_many_blocks_and_a_worker_that_forgets(spark, monkeypatch):
+    texts = [t for t in awkward_texts() if t][:200]
+    walk = Walk()
+    with open(A_PATH, encoding="utf-8") as a, open(B_PATH, "rb") as b:
+        encoders = alignment.Encoders(a.read(), b.read())
+    monkeypatch.setattr(alignment, "REMEMBER", 50)
+    monkeypatch.setattr(alignment, "JOINED", 20)
+    for at in range(0, len(texts), 10):
+        (a, begins_a), (b, begins_b) = encoders.encode(texts[at : at + 10])
+        for i, text in enumerate(texts[at : at + 10]):
+            want = walk(text)
+            assert (a[begins_a[i] : begins_a[i + 1]].tolist(), b[begins_b[i] : begins_b[i + 1]].tolist()) == want[:2]
+
+
+def test_cuts_of_intervals_without_any():
+    """Two long sides that only share their end, beside one that shares every end."""
+    rng = np.random.default_rng(2)
+    for n in (1, 2, 3, 10, 1000):
+        a, b = np.append(np.arange(2, 2 * n, 2), 2 * n), np.append(np.arange(1, 2 * n, 2), 2 * n)
+        assert [x.tolist() for x in alignment.shared_cuts(a, b, np.array([0, len(a)]), np.array([0, len(b)]))] == [[len(a)], [len(b)]]
+        assert alignment.shared_cuts(a, a, np.array([0, 0, len(a)]), np.array([0, 0, len(a)]))[0].tolist() == list(range(1, len(a) + 1))
+        both = [np.append(np.sort(rng.choice(4 * n, n, replace=False)) + 1, 4 * n + 1) for _ in range(2)]
+        shared = np.intersect1d(*both)
+        got = alignment.shared_cuts(*both, np.array([0, n + 1]), np.array([0, n + 1]))
+        assert [x.tolist() for x in got] == [(np.searchsorted(s, shared) + 1).tolist() for s in both]
+
+
+def test_packed_numbers():
+    values = np.array([0, 1, 127, 128, 16383, 16384, 1 << 28, (1 << 35) - 1])
+    data, sizes = alignment.pack(values)
+    assert alignment.unpack(data).tolist() == values.tolist() and sizes.tolist() == [1, 1, 1, 2, 2, 3, 5, 5]
+    assert alignment.unpack(data[:0]).tolist() == []
+
+
+def test_query(spark):
+    folder = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text for r in table(spark, folder, "documents").collect()}
+    got = {r.doc_id: r for r in op11_token_alignment(spark, folder).collect()}
+    for i, want in zip(texts, expected(texts.values()), strict=True):
+        assert tuple(got[i][c] for c in NUMBERS) == want[:-1]
+        assert got[i].groups_sha256 == (hashlib.sha256(want[-1].encode()).hexdigest() if want[-1] else "")

@@ -1,0 +1,145 @@
+"""WARC archives: exact round trips, damaged archives, and the query against a plain loop."""
+
+import base64
+import gzip
+import hashlib
+import io
+import zlib
+
+import pytest
+
+pytest.importorskip("hourledger.llm.queries")
+
+from pyspark.sql import functions as F
+
+from hourledger.llm import warc
+from hourledger.llm.staging import scratch
+
+SCHEMA = "page_id long, url string, html string, key string, payload int"
+
+
+def digest(data: bytes) -> str:
+    return base64.b32encode(hashlib.sha1(data).digest()).decode()
+
+
+def expected(rows, least=0):
+    top = {}
+    for i, _, h in rows:
+        if i is not None:
+            top[h or ""] = max(top.get(h or "", i), i)
+    out = []
+    for i, _, h in rows:
+        data, first = (h or "").encode(), top.get(h or "")
+        again = first is not None and i != first and len(data) >= least
+        out.append((i, len(data), digest(data), "revisit" if again else "response", first if again else None))
+    return sorted(out, key=repr)
+
+
+def awkward_rows():
+    texts = [None, "", "a", "ä\r\n\r\nb", "\r\n\r\n", "WARC/1.1\r\nContent-Length: 3\r\n\r\n", "x" * 3_000_000, "日本" * 1000, "\x1f\x8b\x08\0", "same", "same", "same"]
+    rows = [(i, f"http://h{i}.example/\r\nContent-Length: 1 é", t) for i, t in enumerate(texts)]
+    return rows + [(20, None, "same"), (20, "http://again", "same"), (None, "http://none", "same"), (None, None, "alone"), (None, None, "alone"), (9, "http://same id", "other")]
+
+
+def frame(spark, rows, parts=3):
+    return spark.createDataFrame([(*r, "k", 1) for r in rows], SCHEMA).repartition(parts)
+
+
+def written(spark, rows, **options):
+    folder = scratch(spark, "warc-test")
+    return folder, warc.write_warc(frame(spark, rows), folder, **options)
+
+
+@pytest.mark.parametrize("least", [0, 5])
+def test_round_trip(spark, least):
+    rows = awkward_rows()
+    folder, archives = written(spark, rows, least_bytes=least)
+    records = warc.read_warc(spark, folder, archives, payloads=True)
+    assert records.where("problem is not null").count() == 0
+    got = [(r.key and int(r.key), r.payload_bytes, r.payload_digest, r.record_type, r.refers_to and int(r.refers_to)) for r in warc.resolve_revisits(records).collect()]
+    assert sorted(got, key=repr) == expected(rows, least)
+    kept = {(r.key and int(r.key), bytes(r.payload)) for r in records.where("record_type = 'response'").collect()}
+    assert kept == {(i, (h or "").encode()) for (i, _, h) in rows for e in expected(rows, least) if e[0] == i and e[2] == digest((h or "").encode()) and e[3] == "response"}
+    uris = {(r.key, r.uri) for r in records.where("record_type = 'response'").collect()}
+    assert {("3", "http://h3.example/%0D%0AContent-Length:%201%20é"), ("20", None), (None, None)} <= uris
+
+
+def test_archives_are_gzip_members_of_one_record_and_begin_anew_when_full(spark, monkeypatch):
+    rows = [(i, f"http://h/{i}", f"page {i} " * 50) for i in range(40)]
+    folder, archives = written(spark, rows, archive_bytes=1500)
+    listed = archives.collect()
+    assert len(listed) > 3 and sum(a.records for a in listed) == 40
+    for a in listed:
+        data = open(f"{folder.removeprefix('file:')}/{a.archive}", "rb").read()
+        assert len(data) == a.bytes and gzip.decompress(data).count(b"WARC/1.1\r\n") == a.records
+        members = 0
+        while data:
+            one = zlib.decompressobj(31)
+            assert one.decompress(data).startswith(b"WARC/1.1\r\n")
+            data, members = one.unused_data, members + 1
+        assert members == a.records
+    assert warc.read_warc(spark, folder, archives).count() == 40
+
+
+def test_no_pages_give_no_archives_and_no_records(spark):
+    folder, archives = written(spark, [])
+    assert archives.count() == 0 and warc.resolve_revisits(warc.read_warc(spark, folder, archives)).collect() == []
+
+
+def one(key="1", payload=b"hello", **changes):
+    data = warc.make_record(key, "http://h/", payload, None, False, warc.EPOCH)
+    for old, new in changes.get("swap", []):
+        data = data.replace(old, new)
+    return data
+
+
+def read(data, payloads=True, piece=1 << 20, monkeypatch=None):
+    if monkeypatch:
+        monkeypatch.setattr(warc, "READ", piece)
+        monkeypatch.setattr(warc, "MADE", piece)
+    return list(warc.read_archive(io.BytesIO(data), payloads))
+
+
+@pytest.mark.parametrize("piece", [1, 7, 1 << 20])
+def test_any_piece_size_reads_alike(monkeypatch, piece):
+    payloads = [b"", b"a", b"\r\n\r\n" * 5, b"long " * 300]
+    data = b"".join(warc.gzip_member(one(str(i), p)) for i, p in enumerate(payloads))
+    got = read(data, True, piece, monkeypatch)
+    assert [(r["key"], r["payload"], r["problem"]) for r in got] == [(str(i), p, None) for i, p in enumerate(payloads)]
+    sizes = [len(warc.gzip_member(one(str(i), p))) for i, p in enumerate(payloads)]
+    assert [r["offset"] for r in got] == [sum(sizes[:i]) for i in range(len(sizes))]
+
+
+def test_damage_is_told_and_the_next_record_is_found():
+    good = warc.gzip_member(one("2"))
+    cases = {
+        "payload digest": one(swap=[(b"hello", b"hullo"), (b"WARC-Block-Digest", b"X")]),
+        "block digest": one(swap=[(b"hello", b"hullo")]),
+        "the content length is no number": one(swap=[(b"Content-Length: 8", b"Content-Length: x8"), (b"Content-Length: 7", b"Content-Length: x7")]),
+        "the record does not end with its member": one() + b"more",
+        "no record begins here": b"HTTP/1.1 200\r\n\r\n",
+        "the headers have no end": b"WARC/1.1\r\n",
+        "a header line has no colon": b"WARC/1.1\r\nabc\r\n\r\n",
+        "the record is shorter than its content length": one()[:-8],
+    }
+    for problem, data in cases.items():
+        got = read(warc.gzip_member(data) + good)
+        assert [r["problem"] for r in got] == [problem, None] and got[1]["key"] == "2", problem
+    cut = read(good + good[:-9])
+    assert [r["problem"] for r in cut] == [None, "the archive ends within a member"]
+    assert [bool(r["problem"]) for r in read(good + b"no gzip at all")] == [False, True]
+    assert read(b"") == []
+
+
+def test_records_of_others(monkeypatch):
+    """A warcinfo without digests or HTTP, lower-case names, a digest of another kind."""
+    data = b"WARC/1.0\r\nwarc-type: warcinfo\r\ncontent-length: 4\r\ncontent-type: application/warc-fields\r\nWARC-Block-Digest: md5:x\r\n\r\na: b\r\n\r\n"
+    (got,) = read(warc.gzip_member(data))
+    assert (got["record_type"], got["payload"], got["payload_bytes"], got["problem"], got["key"]) == ("warcinfo", b"a: b", 4, None, None)
+
+
+def test_revisit_of_a_missing_or_different_response(spark):
+    rows = [("response", "r1", None, "1", 5, "AAA"), ("revisit", "v1", "r1", "2", 5, "AAA"), ("revisit", "v2", "r1", "3", 5, "BBB"), ("revisit", "v3", "gone", "4", 5, "AAA")]
+    records = spark.createDataFrame(rows, "record_type string, record_id string, refers_to_id string, key string, payload_bytes long, payload_digest string").withColumn("problem", F.lit(None).cast("string"))
+    got = {r.key: tuple(r)[2:] for r in warc.resolve_revisits(records).collect()}
+    assert got == {"1": (5, "AAA", None), "2": (5, "AAA", "1"), "3": (None, None, None), "4": (None, None, None)}

@@ -1,0 +1,102 @@
+"""Whitening against dense linear algebra."""
+
+import math
+
+import numpy as np
+import pytest
+
+pytest.importorskip("hourledger.llm.queries")
+
+from hourledger.llm import whitening
+from hourledger.llm.queries import op12_whitening, table
+
+SCHEMA = "vec_id long, embedding array<float>, component string, n int"
+
+
+def matrices():
+    rng = np.random.default_rng(4)
+    for n in (1, 2, 3, 9, 40):
+        x = rng.normal(size=(n, n))
+        yield x @ x.T
+        yield np.diag(rng.integers(0, 3, n).astype(float))  # many equal eigenvalues
+        q = np.linalg.qr(x)[0]
+        yield q @ np.diag(np.repeat([5.0, 5.0 - 1e-13, 1e-9], n)[:n]) @ q.T  # a cluster
+    yield np.zeros((5, 5))
+    yield np.ones((6, 6))
+    yield np.diag([1e12, 1.0, 1e-12, 0, 0, 0, 0, 0, 0])
+
+
+@pytest.mark.parametrize("a", list(matrices()))
+def test_leading_components(a):
+    a = (a + a.T) / 2
+    values, axes = whitening.leading_components(a, 8)
+    count = min(8, len(a))
+    want = np.linalg.eigvalsh(a)[::-1][:count]
+    size = max(1e-300, np.max(np.abs(a)))
+    assert np.max(np.abs(values - want)) <= 1e-13 * len(a) * size
+    assert np.max(np.abs(axes @ axes.T - np.eye(count))) < 1e-10
+    assert np.max(np.abs(a @ axes.T - axes.T * values)) <= 1e-11 * len(a) * size
+
+
+def check(rows, got, key="vec_id"):
+    """`rows` are the fitting vectors by id."""
+    x = np.array([[math.floor(1024 * float(np.float32(c))) + 100_000 for c in v] for _, v in rows], object)
+    n, s = len(x), x.sum(axis=0)
+    centred = (x * n - s).astype(float) / n
+    v = centred.T @ centred / n
+    e, axes = np.linalg.eigh(v)
+    e, axes = e[::-1], axes[:, ::-1]
+    assert len(got) == n * min(8, x.shape[1])
+    by = {}
+    for r in got:
+        by.setdefault(r.component, {})[r[key]] = r
+    for k in range(min(8, x.shape[1])):
+        own = by[k + 1]
+        whitened = np.array([own[i].whitened for i, _ in rows])
+        want = centred @ axes[:, k] / np.sqrt(e[k])
+        assert min(np.max(np.abs(whitened - want)), np.max(np.abs(whitened + want))) < 1e-6
+        for (i, _), row in zip(rows, x, strict=True):
+            assert own[i].n == n and own[i].deviation == sum((n * int(c) - int(t)) ** 2 for c, t in zip(row, s, strict=True))
+            assert own[i].explained == pytest.approx(e[k] / np.trace(v), rel=1e-9)
+            assert own[i].identity_error < 1e-8
+
+
+def test_against_dense_algebra(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, [float(c) for c in (rng.normal(size=12) * (1 + np.arange(12)) + 3).astype(np.float32)]) for i in range(200)]
+    left_out = [(500, None), (501, [None] * 12), (502, [math.nan] + [0.0] * 11), (503, [math.inf] + [0.0] * 11), (504, []), (505, [1.0, 2.0]), (506, [3e38] * 12)]
+    df = spark.createDataFrame([(i, v, "x", 1) for i, v in rows + left_out], SCHEMA).repartition(6)
+    check(rows, whitening.whiten(df).collect())
+
+
+def test_fewer_dimensions_than_components_and_equal_rows(spark):
+    rows = [(i, [float(i), float(i % 3)]) for i in range(30)]
+    check(rows, whitening.whiten(spark.createDataFrame([(i, v, "x", 1) for i, v in rows], SCHEMA)).collect())
+    line = [(i, [float(t), 2.0 * t, 7.0], "x", 1) for i, t in ((1, 1), (2, 2), (2, 2), (None, 5))]
+    flat = whitening.whiten(spark.createDataFrame(line, SCHEMA)).collect()
+    assert sorted((r.component, r.whitened is None, r.n) for r in flat) == [(k, k > 1, 4) for k in (1, 2, 3) for _ in range(4)]
+    assert sum(r.whitened**2 for r in flat if r.component == 1) == pytest.approx(4)
+    same = whitening.whiten(spark.createDataFrame([(i, [1.0, 2.0], "x", 1) for i in (1, 1, None)], SCHEMA)).collect()
+    assert [(r.component, r.n, r.deviation, r.whitened, r.explained, r.identity_error) for r in sorted(same, key=lambda r: r.component)] == [(1, 3, 0, None, None, None)] * 3 + [(2, 3, 0, None, None, None)] * 3
+
+
+def test_deviation_beyond_long_is_null_and_large_values_stay_exact(spark):
+    rows = [(1, [1e15]), (2, [-1e15]), (3, [0.0])]
+    got = {r.vec_id: r for r in whitening.whiten(spark.createDataFrame([(i, v, "x", 1) for i, v in rows], "vec_id long, embedding array<double>, c string, d int")).collect()}
+    assert got[1].deviation is None and got[3].deviation == 0
+    assert got[1].whitened == pytest.approx(-got[2].whitened) and abs(got[1].whitened) == pytest.approx(math.sqrt(1.5))
+
+
+def test_empty_table_and_clashing_id(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert whitening.whiten(empty).collect() == []
+    assert whitening.whiten(spark.createDataFrame([(1, None, "x", 1)], SCHEMA)).collect() == []
+    with pytest.raises(ValueError, match="n would"):
+        whitening.whiten(empty.withColumnRenamed("n", "m").withColumnRenamed("vec_id", "n"), id_col="n")
+
+
+def test_query(spark):
+    folder = "/root/testdata/sf0.001"
+    rows = [(r.vec_id, r.embedding) for r in table(spark, folder, "embeddings").collect()]
+    rows = [(i, v) for i, v in rows if v is not None and all(c is not None and math.isfinite(c) for c in v)]
+    check(rows, op12_whitening(spark, folder).collect())
