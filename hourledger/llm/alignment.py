@@ -32,11 +32,11 @@ from hourledger.llm.bpe import byte_symbols
 from hourledger.llm.staging import staged
 
 #: Bytes of text in a block; a longer text is a block by itself.
-BLOCK = 8 << 20
+BLOCK = 2 << 20
 #: Bytes of different chunks of text that a worker remembers; beyond, it begins anew.
-REMEMBER = 8 << 20
-#: Characters of new chunks that the libraries are given in one call.
-JOINED = 4096
+REMEMBER = 4 << 20
+#: Characters of new chunks that the libraries get as one text, and texts in one call: each token of a call takes some hundred bytes.
+JOINED, TOGETHER = 4096, 32
 SPACE = "▁"
 #: Whatever any of the libraries may take for white, and a bit more: a text is cut before a space only where none of it stands before.
 WHITE = r"\s\x1c-\x1f\u0085\u00a0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u2064\u3000\ufeff"
@@ -53,6 +53,11 @@ def chunks_of(text: str) -> list[str]:
     return [" " + part for part in text[1:].split(" ")]
 
 
+def _slices(groups: list) -> Iterator[list]:
+    for at in range(0, len(groups), TOGETHER):
+        yield groups[at : at + TOGETHER]
+
+
 class Encoders:
     """Both tokenizers' ids and bytes, remembered by chunk of text."""
 
@@ -98,8 +103,9 @@ class Encoders:
                 size = 0
             joined[-1].append(chunk)
             size += len(chunk)
-        failed = self._learn([group for group in joined if group])
-        self._learn([*alone, *([chunk] for group in failed for chunk in group)])
+        failed = [group for some in _slices([group for group in joined if group]) for group in self._learn(some)]
+        for some in _slices([*alone, *([chunk] for group in failed for chunk in group)]):
+            self._learn(some)
 
     def _learn(self, groups: list[list[str]]) -> list[list[str]]:
         """Encode each group as one text; gives back those of several chunks that are not what their tokens' bytes make."""
