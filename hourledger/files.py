@@ -33,3 +33,8 @@ def subfolders(spark: SparkSession, path: str) -> list[str]:
 def delete_folder(spark: SparkSession, path: str) -> None:
     folder, files = _open(spark, path)
     files.delete(folder, True)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    folder, files = _open(spark, path)
+    files.mkdirs(folder)

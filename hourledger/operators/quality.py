@@ -82,4 +82,4 @@ def summary_line(report: DataFrame, labels: Sequence[str], day: date | str) -> D
     position = F.array_position(F.array(*[F.lit(label) for label in labels]), F.col("label"))
     lines = F.sort_array(F.collect_list(F.struct(position.alias("position"), report_line(report).alias("line"))))
     text = F.concat_ws(", ", convert.long_day(convert.day_literal(day)), F.col("lines.line"))
-    return report.agg(lines.alias("lines")).select(text.alias("log_output"))
+    return report.agg(lines.alias("lines")).select(text.alias("report"))

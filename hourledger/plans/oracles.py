@@ -285,7 +285,7 @@ FROM ({_COUNTS})""",
         f"""
 SELECT 'Jul 11, 2025, ' || string_agg(
          CASE WHEN std_count < raw_count THEN '❌ MISMATCH for ' ELSE '✅ Consistency OK for ' END
-         || label || ': Raw: ' || raw_count || ' | Std: ' || std_count, ', ' ORDER BY pos) AS log_output
+         || label || ': Raw: ' || raw_count || ' | Std: ' || std_count, ', ' ORDER BY pos) AS report
 FROM ({_COUNTS})""",
     ),
     "count_distinct_row": "SELECT COUNT(DISTINCT (l_orderkey, l_linenumber)) AS n FROM lineitem",
@@ -414,7 +414,34 @@ SELECT id, firstName, lastName, email, TIMESTAMP '2025-07-07 15:00:00' AS etl_ti
 SELECT CAST(userId AS VARCHAR) AS userId, round(total_billable_hours, 2) AS total_billable_hours,
        DATE '1997-01-01' AS start_date, DATE '1997-12-31' AS end_date,
        'Jul 11, 2025, ✅ Consistency OK for users: Raw: ' || n || ' | Std: ' || n
-       || ', ✅ Consistency OK for billable_hours_summary: Raw: ' || h || ' | Std: ' || h AS log_output
+       || ', ✅ Consistency OK for billable_hours_summary: Raw: ' || h || ' | Std: ' || h AS report
 FROM billable_year, (SELECT COUNT(*) AS n FROM customer), (SELECT COUNT(*) AS h FROM billable_year)""",
     ),
+    "landing_run_folders": _with(
+        ["users_raw"],
+        """
+SELECT folder, COUNT(*) AS n
+FROM users_raw, (VALUES ('run=2025-07-07_090000'), ('run=2025-07-07_150000')) AS runs(folder) GROUP BY folder""",
+    ),
+    "landing_quarantine": """
+SELECT 'loaded' AS state, CAST(c_custkey AS VARCHAR) AS line FROM customer WHERE c_custkey % 3 = 0
+UNION ALL
+SELECT 'set aside', c_custkey || ',' || lower(c_mktsegment) || ',' || replace(c_name, '#', '.')
+       || ',a@b.example,again,2025-07-07T15:00:00' FROM customer WHERE c_custkey % 3 = 1
+UNION ALL
+SELECT 'set aside', c_custkey || ',"' || lower(c_mktsegment) FROM customer WHERE c_custkey % 3 = 2
+UNION ALL
+SELECT 'set aside', 'and more",' || replace(c_name, '#', '.') || ',a@b.example,2025-07-07T15:00:00'
+FROM customer WHERE c_custkey % 3 = 2""",
+    "failing_table_beside_a_good_one": _with(
+        ["hours_raw"], "SELECT userId, COUNT(*) AS n, 'users:NoLandingFiles' AS failed FROM hours_raw GROUP BY userId"
+    ),
+    "qa_error_line": _with(
+        ["hours_raw", "hours_valid", "hours_std"],
+        """
+SELECT 'Jul 11, 2025, ❌ Error in users: table not found: no_such_database.users_raw, '
+       || CASE WHEN s < r THEN '❌ MISMATCH for ' ELSE '✅ Consistency OK for ' END
+       || 'billable_hours_summary: Raw: ' || r || ' | Std: ' || s AS report
+FROM (SELECT COUNT(DISTINCT userId) AS r FROM hours_raw), (SELECT COUNT(DISTINCT userId) AS s FROM hours_std)""",
+    ),
 }

@@ -15,13 +15,24 @@ from hourledger.functions.text import is_company_email
 from hourledger.operators import clean, hours, invoices, lookup, merge, quality, report
 from hourledger.operators.latest import latest_per_key
 from hourledger.plans import adapters
-from hourledger.plans.pipeline import PipelineConfig, hydrate, landing_to_raw, process_invoices, raw_to_std, run_pipeline
+from hourledger.plans.pipeline import (
+    PipelineConfig,
+    StageFailed,
+    hydrate,
+    landing_to_raw,
+    process_invoices,
+    raw_to_std,
+    run_checks,
+    run_pipeline,
+)
 from hourledger.plans.tables import HOURS, USERS
+from hourledger.schemas import TableSpec
 from hourledger.session import shared_dir
 from hourledger.sinks import catalog, history, invoice_store, landing, std_table
+from hourledger.sinks.raw import SET_ASIDE
 from hourledger.sources import api_pages
-from hourledger.sources.landing import read_landing
-from hourledger.sources.tables import read_invoice_store
+from hourledger.sources.landing import FILE, read_landing, read_landing_lines
+from hourledger.sources.tables import read_invoice_store, read_table
 
 PERIOD = ("1997-01-01", "1997-12-31")
 RUN_TS = datetime(2025, 7, 7, 15, 0, 0)
@@ -421,6 +432,74 @@ def landing_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.withColumn("etl_time", F.col("etl_time").cast("timestamp_ntz"))
 
 
+@query
+def landing_run_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users landed twice: the folder of each load and its rows."""
+    folder = _scratch(spark, "landing")
+    for hour in (9, 15):
+        run = RUN_TS.replace(hour=hour)
+        landing.write_landing(landing.landing_users(adapters.users_raw(spark, sf_dir), run), folder, run)
+    lines = read_landing_lines(spark, [folder], schemas.USERS_LANDING)
+    return lines.groupBy(F.regexp_extract(FILE, "/(run=[^/]+)/", 1).alias("folder")).agg(F.count("etl_time").alias("n"))
+
+
+def _land_as_others_do(rows: DataFrame, folder: str) -> None:
+    """Headed CSV of values that are joined as they are, line breaks and all."""
+    lines = rows.select(F.explode(F.split(F.concat_ws(",", *rows.columns), "\n")).alias(",".join(rows.columns)))
+    lines.write.options(header="true", quote="", sep="\x01", escapeQuotes="false").csv(folder)
+
+
+@query
+def landing_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the users landed well, a third with a column too many, a third with a line break within
+    quotes: the damaged lines that were set aside, and the ids that were loaded."""
+    cfg = PipelineConfig(_scratch(spark, "quarantine"), f"hourledger_{uuid.uuid4().hex}", on_damage=SET_ASIDE)
+    customers = adapters.table(spark, sf_dir, "customer")
+    users = customers.select(
+        F.col("c_custkey").cast("string").alias("id"), F.lower("c_mktsegment").alias("firstName"),
+        adapters.dotted("c_name").alias("lastName"), F.lit("a@b.example").alias("email"),
+    )
+    kind = F.col("id").cast("bigint") % 3
+    landing.write_landing(landing.landing_users(users.where(kind == 0), RUN_TS), cfg.landing(USERS), RUN_TS)
+    stamped = landing.stamp(users, RUN_TS)
+    wide = stamped.where(kind == 1).withColumn("email", F.concat("email", F.lit(",again")))
+    torn = stamped.where(kind == 2).withColumn("firstName", F.concat(F.lit('"'), "firstName", F.lit('\nand more"')))
+    _land_as_others_do(wide, f"{cfg.landing(USERS)}/wide")
+    _land_as_others_do(torn, f"{cfg.landing(USERS)}/torn")
+    landing_to_raw(spark, cfg, USERS)
+    kept = spark.read.schema("file string, line string").parquet(cfg.quarantined(USERS))
+    loaded = spark.table(cfg.raw_table(USERS))
+    return kept.select(F.lit("set aside").alias("state"), "line").unionAll(loaded.select(F.lit("loaded"), "id"))
+
+
+@query
+def failing_table_beside_a_good_one(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run in which nothing was landed for the users: what failed, and the hours that were loaded."""
+    cfg = PipelineConfig(_scratch(spark, "failing"), f"hourledger_{uuid.uuid4().hex}")
+    (part,) = _land_hours(spark, sf_dir, 1)
+    landing.write_landing(part, cfg.landing(HOURS), RUN_TS)
+    try:
+        run_pipeline(spark, cfg, REPORT_DAY)
+        failed = ""
+    except StageFailed as failure:
+        failed = ",".join(f"{name}:{type(error).__name__}" for name, error in failure.failures.items())
+    loaded = spark.table(cfg.raw_table(HOURS)).groupBy("userId").agg(F.count("*").alias("n"))
+    return loaded.withColumn("failed", F.lit(failed))
+
+
+@query
+def qa_error_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The check where the users' layers cannot be read: their error, and the counts of the hours."""
+    booked = adapters.hours_raw(spark, sf_dir)
+
+    def layers(spec: TableSpec) -> tuple[DataFrame, DataFrame]:
+        if spec is USERS:
+            return read_table(spark, "no_such_database", "users_raw"), booked
+        return booked, clean.clean_hours(booked)
+
+    return quality.summary_line(run_checks(spark, (USERS, HOURS), layers), [USERS.name, HOURS.name], REPORT_DAY)
+
+
 def _land_hours(spark: SparkSession, sf_dir: str, landings: int) -> list[DataFrame]:
     """The raw hours cut by load time into the given number of landings."""
     raw = adapters.hours_raw(spark, sf_dir)
@@ -483,4 +562,4 @@ def hydrate_to_std(spark: SparkSession, sf_dir: str) -> DataFrame:
     hydrate(spark, cfg, f"{cfg.root}/pages", *PERIOD, RUN_TS)
     line = run_pipeline(spark, cfg, REPORT_DAY)
     std = std_table.read_std(spark, cfg.std_table(HOURS), HOURS)
-    return std.drop("etl_time").withColumn("log_output", F.lit(line))
+    return std.drop("etl_time").withColumn("report", F.lit(line))

@@ -84,8 +84,10 @@ class TableSpec:
     keys: tuple[str, ...]
     clean: Callable[[DataFrame], DataFrame]
     version: str = "etl_time"
-    # Storage partition of the std layer. The expression must depend on key columns only, so
-    # that a merge never has to look outside the partitions its updates fall into.
-    partition: tuple[str, Callable[[], Column]] | None = None
+    # Storage partition of the std layer. The expression, of the number of buckets, must depend on
+    # key columns only, so that a merge never has to look outside the partitions its updates fall into.
+    partition: tuple[str, Callable[[int], Column]] | None = None
+    # Where partitions are buckets: how many rows are wanted in one. Their number follows the table's size.
+    rows_per_bucket: int | None = None
     # Columns whose distinct count the consistency check compares between layers.
     check_columns: tuple[str, ...] = ()

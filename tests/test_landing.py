@@ -1,0 +1,173 @@
+"""Landing files that are damaged, late or many."""
+
+import uuid
+from datetime import datetime
+from pathlib import Path
+
+import pytest
+from conftest import rows
+from test_sources_sinks import csv_text, write
+
+from hourledger import schemas
+from hourledger.plans import pipeline
+from hourledger.plans.pipeline import PipelineConfig, StageFailed
+from hourledger.plans.tables import HOURS, USERS
+from hourledger.sinks import raw as raw_sink
+from hourledger.sources.landing import NoLandingFiles, read_landing, read_landing_lines
+from hourledger.streaming import ingest
+
+HEADER = "id,firstName,lastName,email,etl_time\n"
+GOOD = "7,Marie,Sk,m@q.example,2025-03-04T05:06:07\n"
+DAMAGE = {
+    "quoted line break": '8,"Jo\nAnn",L,j@q.example,2025-03-04T05:06:07\n',
+    "line break in the first column": '"9\n9",Bo,L,b@q.example,2025-03-04T05:06:07\n',
+    "line break in the last column": '9,Bo,L,b@q.example,"2025-03-04\nT05:06:07"\n',
+    "short row": "10,Bob\n",
+    "extra column": "11,Cy,L,c@q.example,2025-03-04T05:06:07,more\n",
+}
+
+
+def config(folder, **options):
+    return PipelineConfig(f"{folder}/lake", f"db_{uuid.uuid4().hex}", **options)
+
+
+def raw_ids(spark, cfg):
+    return rows(spark.table(cfg.raw_table(USERS)), "id")
+
+
+@pytest.mark.parametrize("mode", ["incremental", "full"])
+@pytest.mark.parametrize("damage", DAMAGE)
+def test_a_damaged_line_fails_the_load_and_names_the_file(spark, folder, mode, damage):
+    cfg = config(folder, mode=mode)
+    write(f"{cfg.landing(USERS)}/a/sound.csv", HEADER + GOOD)
+    write(f"{cfg.landing(USERS)}/b/hurt.csv", HEADER + GOOD + DAMAGE[damage])
+    for _ in range(2):
+        with pytest.raises(raw_sink.DamagedLanding, match=r"damaged lines in 1 landing files: file:.*/b/hurt.csv"):
+            pipeline.landing_to_raw(spark, cfg, USERS)
+        assert not spark.catalog.tableExists(cfg.raw_table(USERS))
+        assert not list(Path(cfg.raw(USERS)).rglob("*.parquet"))
+    kept = spark.read.parquet(cfg.quarantined(USERS))
+    broken = damage == "quoted line break" or damage.startswith("line break in the first")
+    assert kept.count() == (2 if damage == "quoted line break" else 1), "kept once, however often it is tried"
+    assert {row.file.rsplit("/", 1)[1] for row in kept.collect()} == {"hurt.csv"}
+    with pytest.raises(Exception, match="MALFORMED|hurt.csv"):
+        read_landing(spark, cfg.landing(USERS), schemas.USERS_LANDING).collect()
+    assert broken or kept.first().line.strip() in DAMAGE[damage]
+
+    # The file put right, the same run goes on.
+    write(f"{cfg.landing(USERS)}/b/hurt.csv", HEADER + GOOD.replace("7,", "12,"))
+    pipeline.landing_to_raw(spark, cfg, USERS)
+    assert raw_ids(spark, cfg) == [("12",), ("7",)]
+
+
+@pytest.mark.parametrize("mode", ["incremental", "full"])
+def test_damaged_files_are_set_aside_as_a_whole(spark, folder, mode):
+    cfg = config(folder, mode=mode, on_damage=raw_sink.SET_ASIDE)
+    write(f"{cfg.landing(USERS)}/sound.csv", HEADER + GOOD)
+    write(f"{cfg.landing(USERS)}/hurt.csv", HEADER + "13,Di,L,d@q.example,2025-03-04T05:06:07\n" + DAMAGE["short row"])
+    pipeline.landing_to_raw(spark, cfg, USERS)
+    assert raw_ids(spark, cfg) == [("7",)]
+    assert rows(spark.read.parquet(cfg.quarantined(USERS)), "line") == [("10,Bob",)]
+
+
+def test_policy_is_one_of_two(spark, folder):
+    lines = spark.createDataFrame([("1", None, "f")], f"id string, {raw_sink.DAMAGED} string, {raw_sink.FILE} string")
+    with pytest.raises(ValueError, match="on_damage"):
+        raw_sink.load_lines(lines, ["id"], f"{folder}/raw", f"{folder}/q", "ignore")
+
+
+def test_many_damaged_files_are_counted_and_some_named(spark, folder):
+    cfg = config(folder)
+    for number in range(raw_sink.NAMED + 3):
+        write(f"{cfg.landing(USERS)}/{number:02d}.csv", HEADER + DAMAGE["short row"] * 2)
+    with pytest.raises(raw_sink.DamagedLanding, match=r"46 damaged lines in 23 landing files: .*/00.csv, .*/19.csv and others"):
+        pipeline.landing_to_raw(spark, cfg, USERS)
+
+
+def test_every_column_is_checked_whichever_is_read(spark, folder):
+    write(f"{folder}/a.csv", HEADER + GOOD + DAMAGE["short row"])
+    lines = read_landing_lines(spark, [folder], schemas.USERS_LANDING)
+    assert rows(lines.where(f"{raw_sink.DAMAGED} is not null"), "id") == [("10",)]
+    with pytest.raises(Exception, match="MALFORMED|a.csv"):
+        read_landing(spark, folder, schemas.USERS_LANDING).select("id").collect()
+
+
+def test_text_with_quotes_and_commas_is_no_damage(spark, folder):
+    cfg = config(folder)
+    write(f"{cfg.landing(USERS)}/a.csv", HEADER + '14,"E, ""x""","L ",,2025-03-04T05:06:07\n15,,,,\n')
+    pipeline.landing_to_raw(spark, cfg, USERS)
+    assert rows(spark.table(cfg.raw_table(USERS))) == [
+        ("14", 'E, "x"', "L ", None, datetime(2025, 3, 4, 5, 6, 7)), ("15", None, None, None, None),
+    ]
+
+
+def test_loaded_files_move_to_the_archive_and_full_mode_still_reads_them(spark, folder):
+    cfg = config(folder)
+    for number in range(4):
+        write(f"{cfg.landing(USERS)}/run={number}/a.csv", HEADER + GOOD.replace("7,", f"{number},"))
+        pipeline.landing_to_raw(spark, cfg, USERS)
+    left = list(Path(cfg.landing(USERS)).rglob("*.csv"))
+    moved = list(Path(cfg.archive(USERS)).rglob("*.csv"))
+    assert len(left) + len(moved) == 4 and len(moved) >= 2
+    pipeline.landing_to_raw(spark, cfg, USERS)
+    assert raw_ids(spark, cfg) == [("0",), ("1",), ("2",), ("3",)]
+    again = PipelineConfig(cfg.root, cfg.database, mode="full")
+    pipeline.landing_to_raw(spark, again, USERS)
+    assert raw_ids(spark, cfg) == [(str(number),) for number in range(4) for _ in range(2)]
+
+
+def test_a_run_after_all_files_are_archived_loads_nothing(spark, folder):
+    cfg = config(folder)
+    with pytest.raises(NoLandingFiles):
+        pipeline.landing_to_raw(spark, cfg, USERS)
+    write(f"{cfg.archive(USERS)}/old.csv", HEADER + GOOD)
+    Path(cfg.landing(USERS)).mkdir(parents=True)
+    pipeline.landing_to_raw(spark, cfg, USERS)
+    assert raw_ids(spark, cfg) == []
+
+
+def test_incremental_runs_do_not_open_the_landing_folder_as_a_batch(spark, folder, monkeypatch):
+    cfg = config(folder)
+    write(f"{cfg.landing(USERS)}/a.csv", HEADER + GOOD)
+
+    def opened(*_):
+        raise AssertionError("batch frame opened")
+
+    monkeypatch.setattr(pipeline, "read_landing_lines", opened)
+    pipeline.landing_to_raw(spark, cfg, USERS)
+    assert raw_ids(spark, cfg) == [("7",)]
+
+
+def test_a_replayed_batch_writes_the_same_folder(spark, folder):
+    """The batch was loaded, but the stream did not come to note it."""
+    cfg = config(folder)
+    write(f"{cfg.landing(USERS)}/a.csv", HEADER + GOOD)
+    pipeline.landing_to_raw(spark, cfg, USERS)
+    (noted,) = (p for p in Path(cfg.checkpoint(USERS, "landing"), "commits").iterdir() if p.name == "0")
+    noted.unlink()
+    Path(noted.parent, ".0.crc").unlink(missing_ok=True)
+    pipeline.landing_to_raw(spark, cfg, USERS)
+    assert raw_ids(spark, cfg) == [("7",)]
+
+
+def test_a_damaged_table_does_not_stop_the_other(spark, folder):
+    cfg = config(folder)
+    write(f"{cfg.landing(USERS)}/a.csv", HEADER + DAMAGE["short row"])
+    write(f"{cfg.landing(HOURS)}/a.csv", "userId,total_billable_hours,start_date,end_date,etl_time\n7,1.25,2025-03-03,2025-03-09,2025-03-10T00:00:00\n")
+    with pytest.raises(StageFailed, match="landing to raw failed for users: 1 damaged lines"):
+        pipeline.run_pipeline(spark, cfg, "2025-03-11")
+    assert spark.table(cfg.raw_table(HOURS)).count() == 1
+
+
+def test_own_files_have_no_damage(spark, folder):
+    from hourledger.sinks import landing
+
+    cfg = config(folder)
+    awkward = ['a"b', "c,d", "e\nf", "\r\n", " g ", "", None, "\\", '"', "h i"]
+    users = spark.createDataFrame([(str(n), text, text, text) for n, text in enumerate(awkward)], "id string, firstName string, lastName string, email string")
+    run = datetime(2025, 3, 4, 5, 6, 7)
+    landing.write_landing(landing.landing_users(users.coalesce(1), run), cfg.landing(USERS), run)
+    assert csv_text(cfg.landing(USERS)).startswith(HEADER)
+    ingest.ingest_landing(spark, USERS, cfg.landing(USERS), cfg.raw(USERS), cfg.checkpoint(USERS, "landing"), cfg.quarantined(USERS))
+    back = spark.read.option("recursiveFileLookup", "true").parquet(cfg.raw(USERS))
+    assert [r.firstName for r in back.orderBy("id").collect()] == ['a"b', "c,d", "e f", " ", " g ", None, None, "\\", '"', "h i"]
