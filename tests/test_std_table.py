@@ -1,0 +1,188 @@
+"""Versions behind a view: one switch for a batch, replays, buckets that follow the size."""
+
+import uuid
+from dataclasses import replace
+from datetime import datetime
+from pathlib import Path
+
+import pytest
+from conftest import rows
+
+from hourledger import schemas
+from hourledger.plans import pipeline
+from hourledger.plans.pipeline import PipelineConfig
+from hourledger.plans.tables import HOURS, USERS
+from hourledger.sinks import catalog, std_table
+from hourledger.sinks.landing import write_landing
+
+STORED = [(f"s{n}", f"{n}.25", f"2024-{n:02d}-04", f"2024-{n:02d}-10", "2024-12-01T00:00:00") for n in (4, 5, 6, 7)]
+NEWER = [(user, "40.50", start, end, "2024-12-02T00:00:00") for user, _, start, end, _ in STORED]
+NO_END = ("s9", "3.25", "2024-05-06", None, "2024-12-02T00:00:00")
+
+
+@pytest.fixture
+def at(spark, folder):
+    return f"std_{uuid.uuid4().hex}", f"{folder}/std"
+
+
+def apply(spark, at, data, marker, spec=HOURS, **options):
+    name, base = at
+    batch = spec.clean(spark.createDataFrame(data, spec.landing_schema))
+    return std_table.apply_updates(spark, name, spec, batch, base, marker, **options)
+
+
+def content(spark, at, spec=HOURS):
+    return rows(std_table.read_std(spark, at[0], spec), "userId", "total_billable_hours")
+
+
+def folders(at):
+    return {p.name: sorted(x.name for x in p.iterdir() if x.is_dir()) for p in Path(at[1]).iterdir()}
+
+
+class Power(RuntimeError):
+    """The application ends here."""
+
+
+def cut(monkeypatch, function, before=True):
+    usual = getattr(catalog, function)
+
+    def stop(*args, **kw):
+        if not before:
+            usual(*args, **kw)
+        raise Power
+
+    monkeypatch.setattr(catalog, function, stop)
+
+
+def test_a_reader_has_the_versions_of_one_moment(spark, at):
+    apply(spark, at, STORED, "1")
+    before = std_table.read_std(spark, at[0], HOURS)
+    apply(spark, at, NEWER, "2")
+    old = [(user, float(hours)) for user, hours, *_ in STORED]
+    assert rows(before, "userId", "total_billable_hours") == old
+    assert content(spark, at) == [(user, 40.5) for user, _ in old]
+
+
+@pytest.mark.parametrize("function", ["add_partitions", "replace_view"])
+def test_an_interrupted_batch_is_not_seen_and_its_replay_adds_no_row_twice(spark, at, monkeypatch, function):
+    apply(spark, at, STORED, "1")
+    old = content(spark, at)
+    with monkeypatch.context() as patch:
+        cut(patch, function)
+        with pytest.raises(Power):
+            apply(spark, at, [*NEWER, NO_END], "2")
+    assert content(spark, at) == old
+    assert catalog.properties(spark, at[0])[std_table.APPLIED] == "1"
+    for done in (True, False):
+        assert apply(spark, at, [*NEWER, NO_END], "2") is done
+        assert content(spark, at) == [*((user, 40.5) for user, _ in old), ("s9", 3.25)]
+
+
+def test_a_batch_interrupted_after_its_switch_is_skipped(spark, at, monkeypatch):
+    apply(spark, at, STORED, "1")
+    with monkeypatch.context() as patch:
+        cut(patch, "replace_view", before=False)
+        with pytest.raises(Power):
+            apply(spark, at, [NO_END], "2")
+    assert not apply(spark, at, [NO_END], "2")
+    assert content(spark, at).count(("s9", 3.25)) == 1
+
+
+def test_a_streamed_batch_with_null_keys_is_replayed_once(spark, folder, monkeypatch):
+    cfg = PipelineConfig(f"{folder}/lake", f"db_{uuid.uuid4().hex}")
+    for number, data in enumerate((STORED, [NO_END])):
+        write_landing(spark.createDataFrame(data, schemas.HOURS_LANDING), cfg.landing(HOURS), datetime(2024, 12, 3, 0, 0, number))
+        pipeline.landing_to_raw(spark, cfg, HOURS)
+        if number:
+            with monkeypatch.context() as patch:
+                cut(patch, "replace_view", before=False)
+                with pytest.raises(Exception, match="Power"):
+                    pipeline.raw_to_std(spark, cfg, HOURS)
+        pipeline.raw_to_std(spark, cfg, HOURS)
+    assert std_table.read_std(spark, cfg.std_table(HOURS), HOURS).count() == len(STORED) + 1
+
+
+def test_versions_that_nothing_is_taken_from_are_dropped(spark, at, monkeypatch):
+    apply(spark, at, STORED, "1")
+    for number, row in enumerate(NEWER[:3]):
+        apply(spark, at, [row], f"2-{number}")
+    assert len(folders(at)) == 4 and std_table.drop_superseded(spark, at[0], HOURS, at[1]) == []
+    with monkeypatch.context() as patch:
+        cut(patch, "replace_view")
+        with pytest.raises(Power):
+            apply(spark, at, NEWER, "3")
+    assert len(std_table.drop_superseded(spark, at[0], HOURS, at[1])) == 1
+    apply(spark, at, [(*row[:4], "2024-12-05T00:00:00") for row in NEWER], "4")
+    assert len(std_table.drop_superseded(spark, at[0], HOURS, at[1])) == 4
+    assert len(folders(at)) == 1 and [hours for _, hours in content(spark, at)] == [40.5] * 4
+
+
+def test_months_asked_for_reach_the_scan(spark, at):
+    apply(spark, at, STORED, "1")
+    apply(spark, at, NEWER[:1], "2")
+    df = spark.table(at[0]).where("period_month = '2024-06'")
+    assert len(df.inputFiles()) == 1
+    assert "period_month=2024-06" in df._jdf.queryExecution().executedPlan().toString() or "PartitionFilters: [isnotnull(period_month" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_table_without_partitions(spark, at):
+    spec = replace(HOURS, partition=None)
+    apply(spark, at, STORED, "1", spec)
+    apply(spark, at, NEWER[:2], "2", spec)
+    assert [hours for _, hours in content(spark, at, spec)] == [40.5, 40.5, 6.25, 7.25]
+    assert len(std_table.drop_superseded(spark, at[0], spec, at[1])) == 1
+
+
+def test_touched_partitions_may_become_empty(spark, at):
+    apply(spark, at, STORED, "1")
+
+    def nothing(stored, batch):
+        return stored.limit(0)
+
+    none = spark.createDataFrame([], schemas.HOURS_LANDING)
+    assert std_table.apply_batch(spark, at[0], HOURS, HOURS.clean(none), at[1], "2", nothing, ["2024-05", "2025-01"])
+    assert [user for user, _ in content(spark, at)] == ["s4", "s6", "s7"]
+    apply(spark, at, NEWER[:2], "3")
+    assert [user for user, _ in content(spark, at)] == ["s4", "s5", "s6", "s7"]
+
+
+# --- Buckets ----------------------------------------------------------------------------------
+
+
+def users(ids, day=1):
+    return [(f"{n}", "x", f"d{day}", "e", f"2024-12-{day:02d}T00:00:00") for n in ids]
+
+
+@pytest.mark.parametrize("size, buckets", [(50, 1), (51, 2), (1000, 32)])
+def test_a_one_row_batch_rewrites_one_bucket_at_any_size(spark, at, size, buckets):
+    spec = replace(USERS, rows_per_bucket=50)
+    apply(spark, at, users(range(size)), "1", spec)
+    state = catalog.properties(spark, at[0])
+    assert (state[std_table.BUCKETS], state[std_table.ROWS]) == (str(buckets), str(size))
+    before = folders(at)
+    apply(spark, at, users([7], day=2), "2", spec)
+    (added,) = set(folders(at)) - set(before)
+    assert len(folders(at)[added]) == 1
+    got = rows(std_table.read_std(spark, at[0], spec), "id", "lastName")
+    assert got == sorted((str(n), "D2" if n == 7 else "D1") for n in range(size))
+
+
+def test_a_table_that_has_doubled_is_dealt_out_anew(spark, at):
+    spec = replace(USERS, rows_per_bucket=10)
+    counts = []
+    for number in range(8):
+        apply(spark, at, users(range(number * 15, number * 15 + 20), day=number + 1), str(number), spec)
+        state = catalog.properties(spark, at[0])
+        counts.append(int(state[std_table.BUCKETS]))
+        assert int(state[std_table.ROWS]) == std_table.read_std(spark, at[0], spec).count() == number * 15 + 20
+    assert counts == [2, 2, 2, 8, 8, 8, 8, 8]
+    got = dict(rows(std_table.read_std(spark, at[0], spec), "id", "lastName"))
+    assert all(got[str(n)] == f"D{min(n // 15, 7) + 1}" for n in range(125))
+
+
+def test_an_empty_first_batch_makes_a_table(spark, at):
+    assert apply(spark, at, [], "1", USERS)
+    assert rows(std_table.read_std(spark, at[0], USERS)) == []
+    assert not apply(spark, at, [], "2", USERS)
+    apply(spark, at, users([3]), "3", USERS)
+    assert rows(std_table.read_std(spark, at[0], USERS), "id") == [("3",)]
