@@ -8,10 +8,8 @@ from __future__ import annotations
 import argparse
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourledger import schemas
 from hourledger.operators import report
 from hourledger.operators.invoices import InvoiceRules
 from hourledger.plans import pipeline
@@ -19,7 +17,6 @@ from hourledger.plans.pipeline import PipelineConfig
 from hourledger.plans.tables import HOURS, USERS
 from hourledger.session import build_session
 from hourledger.sinks.std_table import read_std
-from hourledger.sources import api_pages, tables
 
 
 def arguments() -> argparse.ArgumentParser:
@@ -47,18 +44,13 @@ def arguments() -> argparse.ArgumentParser:
     mapping.add_argument("--issuer", required=True)
 
     invoices = commands.add_parser("invoices", help="validate and store <email>/<name>.xml documents")
-    invoices.add_argument("--documents", required=True)
-    invoices.add_argument("--pages", required=True)
+    invoices.add_argument("--documents", required=True, help="inbox; each file is read once")
     invoices.add_argument("--receiver", required=True, help="expected receiver id")
     invoices.add_argument("--keyword", action="append", default=[], help="required wording; repeatable")
     invoices.add_argument("--domain", help="company email domain")
     return parser
 
 
-def _items(spark: SparkSession, args, kind: str, schema, flatten=api_pages.flatten_pages) -> DataFrame:
-    return flatten(api_pages.read_complete_pages(spark, f"{args.pages}/{kind}", schema))
-
-
 def main(argv: list[str] | None = None) -> None:
     args = arguments().parse_args(argv)
     now = datetime.now(timezone.utc).replace(tzinfo=None)
@@ -82,12 +74,9 @@ def main(argv: list[str] | None = None) -> None:
         pipeline.add_mappings(spark, cfg, entered, now)
     elif args.command == "invoices":
         rules = InvoiceRules(args.receiver, tuple(args.keyword), company_domain=args.domain)
-        decided = pipeline.process_invoices(
-            spark, cfg, tables.read_invoice_documents(spark, args.documents),
-            _items(spark, args, "time-entries", schemas.ENTRIES_PAGE, api_pages.flatten_entries),
-            _items(spark, args, "project-tasks", schemas.TASKS_PAGE), rules,
-        )
-        decided.groupBy("first_failure").agg(F.count("*").alias("invoices")).show(truncate=False)
+        pipeline.process_inbox(spark, cfg, args.documents, rules, pipeline.stored_hours(spark, cfg))
+        decided = pipeline.decisions(spark, cfg)
+        decided.groupBy("batch", "first_failure").agg(F.count("*").alias("invoices")).show(truncate=False)
 
 
 if __name__ == "__main__":

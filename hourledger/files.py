@@ -38,3 +38,10 @@ def delete_folder(spark: SparkSession, path: str) -> None:
 def make_folder(spark: SparkSession, path: str) -> None:
     folder, files = _open(spark, path)
     files.mkdirs(folder)
+
+
+def delete_at_end(spark: SparkSession, path: str) -> None:
+    """Delete a folder, there already or not, when the application ends."""
+    folder, files = _open(spark, path)
+    files.mkdirs(folder.getParent())
+    files.deleteOnExit(folder)

@@ -25,9 +25,6 @@ def page_of(item: T.StructType) -> T.StructType:
     return T.StructType([T.StructField("data", T.ArrayType(item)), _META])
 
 
-# What counting the rows of a page takes; all other fields are skipped unread.
-COUNTED_PAGE = page_of(_strings("id"))
-
 USERS_PAGE = page_of(_strings("id", "firstName", "lastName", "email"))
 TASKS_PAGE = page_of(
     T.StructType(
@@ -50,6 +47,15 @@ ENTRIES_PAGE = page_of(
     )
 )
 
+# Billable hours of each day with any, by user and month.
+DAILY_HOURS = T.StructType(
+    [
+        T.StructField("userId", T.StringType()),
+        T.StructField("month", T.DateType()),
+        T.StructField("days", T.ArrayType(T.StructType([T.StructField("day", T.DateType()), T.StructField("hours", T.DoubleType())]))),
+    ]
+)
+
 # History of email -> issuer company.
 MAPPING = T.StructType(
     [

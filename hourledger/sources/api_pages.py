@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hourledger import schemas
+from hourledger import files, schemas
 from hourledger.functions import convert
+from hourledger.session import shared_dir
 
 
 class IncompletePages(RuntimeError):
@@ -46,19 +47,28 @@ def _typed(value: Column, kind: T.DataType) -> Column:
     return convert.to_flag(value) if isinstance(kind, T.IntegerType) else convert.to_number(value)
 
 
-def read_pages(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
-    """Pages under ``path``. ``multi_line`` is for pretty-printed pages, one file each.
-
-    Numbers and flags may be sent as text; one that cannot be read is NULL here and fails `read_complete_pages`.
-    """
+def _parse(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool) -> DataFrame:
+    """Typed pages, and for each how many values of each number or flag cannot be read."""
     pages, fields = _read_text(spark, path, _items(schema), multi_line), _items(schema)
-    if not _numbers(schema):
-        return pages
 
     def typed(item: Column) -> Column:
         return F.when(item.isNotNull(), F.struct(*(_typed(item[f.name], f.dataType).alias(f.name) for f in fields)))
 
-    return pages.withColumn("data", F.transform("data", typed))
+    def lost(field: T.StructField) -> Column:
+        bad = F.filter("data", lambda item: item[field.name].isNotNull() & _typed(item[field.name], field.dataType).isNull())
+        return F.coalesce(F.size(bad), F.lit(0)).alias(field.name)
+
+    unreadable = F.struct(F.lit(0).alias("none"), *(lost(field) for field in _numbers(schema)))
+    data = F.transform("data", typed) if _numbers(schema) else F.col("data")
+    return pages.select(data.alias("data"), "meta", unreadable.alias("unreadable"))
+
+
+def read_pages(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
+    """Pages under ``path``. ``multi_line`` is for pretty-printed pages, one file each.
+
+    Numbers and flags may be sent as text; one that cannot be read is NULL here and fails `read_complete_pages`.
+    """
+    return _parse(spark, path, schema, multi_line).drop("unreadable")
 
 
 def flatten_pages(pages: DataFrame) -> DataFrame:
@@ -71,43 +81,58 @@ def flatten_entries(pages: DataFrame) -> DataFrame:
     return flatten_pages(pages).withColumn("entry_date", convert.to_day(F.col("date"))).drop("date")
 
 
-def page_totals(pages: DataFrame, also: Sequence[Column] = ()) -> DataFrame:
-    """One row: rows delivered, rows announced, whether they agree, and `also`. Unreadable pages count 0.
+def page_totals(pages: DataFrame) -> DataFrame:
+    """One row: rows delivered, rows announced, and whether they agree. Unreadable pages count 0.
 
     They agree if every page announces the same number and so many different ids were delivered:
-    a repeated page must not make up for a missing one. Items without an id count as different.
+    a repeated page must not make up for a missing one, nor a page that announces nothing for one
+    that does. Items without an id count as different.
     """
-    items = pages.select(F.col("meta.totalRows").alias("total"), F.posexplode_outer("data").alias("pos", "item"))
+    # The ids alone, so that pages kept as Parquet are read for these only.
+    items = pages.select(F.col("meta.totalRows").alias("total"), F.posexplode_outer("data.id").alias("pos", "id"))
     counts = items.agg(
         F.count("pos").alias("delivered"),
         F.coalesce(F.max("total"), F.lit(0)).alias("announced"),
         F.coalesce(F.min("total"), F.lit(0)).alias("least"),
-        (F.count_distinct("item.id") + F.count("pos") - F.count("item.id")).alias("ids"),
-        F.struct(F.lit(0).alias("none"), *also).alias("also"),
+        F.count_if(F.col("total").isNull()).alias("silent"),
+        (F.count_distinct("id") + F.count("pos") - F.count("id")).alias("ids"),
     )
-    agree = (F.col("delivered") == F.col("announced")) & (F.col("ids") == F.col("announced")) & (F.col("least") == F.col("announced"))
-    return counts.select("delivered", "announced", agree.alias("complete"), *(["also"] if also else []))
+    agree = (F.col("delivered") == F.col("announced")) & (F.col("ids") == F.col("announced"))
+    agree = agree & (F.col("least") == F.col("announced")) & (F.col("silent") == 0)
+    return counts.select("delivered", "announced", agree.alias("complete"))
 
 
-def require_complete(pages: DataFrame, numbers: Sequence[T.StructField] = ()) -> None:
-    """Fail the load when pages are missing or were landed twice, or when values of `numbers`, read as text, are no numbers."""
-    lost = [F.count_if(F.col(f"item.{f.name}").isNotNull() & _typed(F.col(f"item.{f.name}"), f.dataType).isNull()).alias(f.name) for f in numbers]
-    totals = page_totals(pages, lost).first()
+def require_complete(pages: DataFrame) -> None:
+    """Fail the load when pages are missing, were landed twice or do not say how many rows there are."""
+    totals = page_totals(pages).first()
     if not totals["complete"]:
-        raise IncompletePages(f"{totals['delivered']} rows in the pages, {totals['announced']} announced, or ids repeated")
-    if found := {f.name: totals["also"][f.name] for f in numbers if totals["also"][f.name]}:
-        raise UnreadableValues(", ".join(f"{n} unreadable values of {name}" for name, n in found.items()))
+        raise IncompletePages(
+            f"{totals['delivered']} rows in the pages, {totals['announced']} announced, or not by every page, or ids repeated"
+        )
+
+
+def _require_readable(pages: DataFrame) -> None:
+    names = pages.schema["unreadable"].dataType.names
+    found = pages.agg(*(F.sum(f"unreadable.{name}").alias(name) for name in names)).first()
+    if lost := {name: found[name] for name in names if found[name]}:
+        raise UnreadableValues(", ".join(f"{n} unreadable values of {name}" for name, n in lost.items()))
 
 
 def read_complete_pages(
-    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False
+    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False, kept: str | None = None
 ) -> DataFrame:
     """Pages under ``path``, once their rows are known to add up and their numbers and flags to be readable.
 
-    Counting is a pass of its own that reads ids, numbers and flags only. Counting while loading would save it, but
-    metrics of a plan with shuffles count twice what is computed twice after a lost executor.
+    The JSON is parsed once, into typed pages under ``kept``, which the caller deletes, or in the shared
+    folder until the application ends. The checks read ids and counts from there, and the result is
+    those pages, whatever happens to the dump meanwhile.
     """
-    numbers = _numbers(schema)
-    counted = T.StructType([*_items(schemas.COUNTED_PAGE), *numbers])
-    require_complete(_read_text(spark, path, counted, multi_line), numbers)
-    return read_pages(spark, path, schema, multi_line)
+    folder = kept or f"{shared_dir(spark)}/pages-{uuid.uuid4().hex}"
+    if not kept:
+        files.delete_at_end(spark, folder)
+    parsed = _parse(spark, path, schema, multi_line)
+    parsed.write.parquet(folder)
+    pages = spark.read.schema(parsed.schema).parquet(folder)
+    require_complete(pages)
+    _require_readable(pages)
+    return pages.drop("unreadable")
