@@ -444,4 +444,17 @@ SELECT 'Jul 11, 2025, ❌ Error in users: table not found: no_such_database.user
        || 'billable_hours_summary: Raw: ' || r || ' | Std: ' || s AS report
 FROM (SELECT COUNT(DISTINCT userId) AS r FROM hours_raw), (SELECT COUNT(DISTINCT userId) AS s FROM hours_std)""",
     ),
+    "invoice_documents_from_files": _with(
+        ["invoices"],
+        """
+SELECT invoice_id, email, CASE WHEN description = 'consulting' THEN 'consulting general' ELSE description END AS description,
+       amount_of_hours, rate, CAST(invoice_date AS VARCHAR) AS date,
+       lpad(CAST(userId AS VARCHAR), 12, '0') AS ruc_emisor, trim(razon_social) AS razon_social, rut_receptor,
+       CAST(NULL AS VARCHAR) AS parse_error
+FROM invoices""",
+    ),
+    "invoice_hours_from_table": _with(["invoices"], "SELECT invoice_id, timesheet_hours FROM invoices"),
+    "invoice_inbox": _with(
+        ["saved_decisions"], "SELECT invoice_id, CAST(invoice_id % 2 AS INTEGER) AS run, failures FROM saved_decisions"
+    ),
 }

@@ -5,9 +5,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import replace
-from datetime import datetime
+from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hourledger import schemas
@@ -18,21 +18,26 @@ from hourledger.plans import adapters
 from hourledger.plans.pipeline import (
     PipelineConfig,
     StageFailed,
+    book_hours,
+    decisions,
     hydrate,
     landing_to_raw,
+    process_inbox,
     process_invoices,
     raw_to_std,
     run_checks,
     run_pipeline,
+    stored_hours,
 )
 from hourledger.plans.tables import HOURS, USERS
 from hourledger.schemas import TableSpec
 from hourledger.session import shared_dir
 from hourledger.sinks import catalog, history, invoice_store, landing, std_table
+from hourledger.sinks.documents import write_documents
 from hourledger.sinks.raw import SET_ASIDE
 from hourledger.sources import api_pages
 from hourledger.sources.landing import FILE, read_landing, read_landing_lines
-from hourledger.sources.tables import read_invoice_store, read_table
+from hourledger.sources.tables import read_invoice_documents, read_invoice_store, read_table
 
 PERIOD = ("1997-01-01", "1997-12-31")
 RUN_TS = datetime(2025, 7, 7, 15, 0, 0)
@@ -393,6 +398,57 @@ def invoice_files_to_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_invoice_store(spark, cfg.invoices)
 
 
+@query
+def invoice_documents_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every invoice uploaded as a file of its own, read back and parsed."""
+    inbox = _scratch(spark, "inbox")
+    uploaded = adapters.invoice_documents(adapters.invoices(spark, sf_dir))
+    write_documents(uploaded.withColumn("name", F.col("invoice_id")), inbox)
+    fields = invoices.extract_fields(read_invoice_documents(spark, inbox))
+    return fields.drop("received_at").withColumn("invoice_id", _number_of_file("invoice_id"))
+
+
+def _number_of_file(path: str) -> Column:
+    return F.regexp_extract(path, "/([0-9]+)[.]xml$", 1).cast("bigint")
+
+
+def _invoice_lake(spark: SparkSession, sf_dir: str) -> PipelineConfig:
+    """Users, mappings and the daily hours, which two loads booked: the second corrects a part of the first."""
+    cfg = PipelineConfig(_scratch(spark, "lake"), f"hourledger_{uuid.uuid4().hex}")
+    catalog.create_database(spark, cfg.database)
+    std_table.apply_updates(spark, cfg.std_table(USERS), USERS, users_std(spark, sf_dir), cfg.std(USERS), "base")
+    history.append_mapping(_mapping(spark, sf_dir), cfg.mapping)
+    entries, tasks = adapters.time_entries(spark, sf_dir), adapters.project_tasks(spark, sf_dir)
+    wrong = entries.withColumn("decimalHours", F.when(F.year("entry_date") < 1997, F.col("decimalHours")).otherwise(F.lit(1.0)))
+    book_hours(spark, cfg, wrong, tasks, "1990-01-01", "1998-08-15", "first")
+    book_hours(spark, cfg, entries, tasks, "1997-01-01", "2005-12-31", "second")
+    return cfg
+
+
+@query
+def invoice_hours_from_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The invoices' hours from the table of daily hours; the time entries are not read."""
+    booked = stored_hours(spark, _invoice_lake(spark, sf_dir))(date(1990, 1, 1), date(2005, 12, 31))
+    asked = adapters.invoices(spark, sf_dir, with_hours=False).withColumn("userId", F.col("userId").cast("string"))
+    return invoices.attach_booked(asked, booked, "userId").select("invoice_id", "timesheet_hours")
+
+
+@query
+def invoice_inbox(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole invoice job on an inbox that two uploads fill: each decision, and the run that made it."""
+    cfg, inbox = _invoice_lake(spark, sf_dir), _scratch(spark, "inbox")
+    documents = _documents(spark, sf_dir).withColumn("name", F.col("invoice_id"))
+    for run in (0, 1):
+        write_documents(documents.where(F.col("invoice_id") % 2 == run), inbox)
+        process_inbox(spark, cfg, inbox, adapters.RULES, stored_hours(spark, cfg))
+    decided = decisions(spark, cfg)
+    run = F.dense_rank().over(Window.orderBy("batch")) - 1
+    runs = decided.select("batch").distinct().withColumn("run", run)
+    return decided.join(runs, "batch").select(
+        _number_of_file("invoice_id").alias("invoice_id"), "run", F.array_join("failures", ",").alias("failures")
+    )
+
+
 # --- Sources and incremental loads ------------------------------------------------------------
 
 
