@@ -20,17 +20,21 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hourledger.llm.arrow import blocks, ragged
+from hourledger.llm.staging import staged
 from hourledger.llm.words import hashed_words, mix
 from hourledger.operators.reduced import join_reduced
 from hourledger.session import shared_dir
 
-#: Counters of the rarity sketch, as a power of two.
-SKETCH_BITS = 18
+#: Counters of the rarity sketch, of a byte each, as a power of two, and those that are summed together.
+SKETCH_BITS, SKETCH_PART = 24, 1 << 16
+#: Where a byte stops counting.
+FULL = 255
 #: Shingles of a block of a candidate group; two blocks are scanned together.
 BLOCK_SHINGLES = 1_000_000
 #: Members of a block of a long list, and rows of short lists that are looked through together.
@@ -92,25 +96,45 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 
 def _statistics(texts: DataFrame, k: int) -> tuple[np.ndarray, dict[int, int]]:
-    """The rarity sketch and the sizes of all sets."""
+    """The rarity sketch, of fixed size, and the sizes of all sets. No counter tells less than the texts of a shingle, up to FULL."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch, sizes = np.zeros(1 << SKETCH_BITS, np.int64), {}
+        sketch, sizes = np.zeros(1 << SKETCH_BITS, np.uint8), {}
         for batch in blocks(batches, 0):
             value, begins = shingle_sets(batch.column(0), k)
-            sketch += np.bincount((value >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(sketch))
+            at, often = np.unique(value >> np.uint64(64 - SKETCH_BITS), return_counts=True)
+            at = at.astype(np.int64)
+            sketch[at] = np.minimum(sketch[at] + often, FULL)
             for size, n in zip(*(x.tolist() for x in np.unique(np.diff(begins), return_counts=True)), strict=True):
                 sizes[size] = sizes.get(size, 0) + n
-        at = np.flatnonzero(sketch)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(sketch[at])], ["key", "n"])
+        part = TaskContext.get().partitionId() % 64
+        for key, cells in enumerate(sketch.reshape(-1, SKETCH_PART)):
+            if cells.any():
+                yield pa.RecordBatch.from_pylist([{"key": key, "part": part, "cells": cells.tobytes(), "n": 0}], kinds)
         # Sizes stand below zero.
-        yield pa.RecordBatch.from_arrays([pa.array([-1 - s for s in sizes], pa.int64()), pa.array(list(sizes.values()), pa.int64())], ["key", "n"])
-
-    found = texts.select("text").mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
-    keys, n = (found.column(c).to_numpy() for c in ("key", "n"))
-    sketch = np.zeros(1 << SKETCH_BITS, np.int64)
-    sketch[keys[keys >= 0]] = n[keys >= 0]
-    return sketch, dict(zip((-1 - keys[keys < 0]).tolist(), n[keys < 0].tolist(), strict=True))
+        yield pa.RecordBatch.from_pylist([{"key": -1 - size, "part": part, "cells": None, "n": n} for size, n in sizes.items()], kinds)
+
+    def add(rows: pa.Table) -> pa.Table:
+        key, total = rows.column("key")[0].as_py(), None
+        for cells in rows.column("cells"):
+            if cells.is_valid:
+                own = np.frombuffer(cells.as_py(), np.uint8).astype(np.uint16)
+                total = own if total is None else np.minimum(total + own, FULL)
+        cells = None if total is None else total.astype(np.uint8).tobytes()
+        return pa.Table.from_pylist([{"key": key, "part": 0, "cells": cells, "n": sum(rows.column("n").to_pylist())}], kinds)
+
+    kinds = pa.schema([("key", pa.int64()), ("part", pa.int32()), ("cells", pa.binary()), ("n", pa.int64())])
+    schema = "key long, part int, cells binary, n long"
+    counted = texts.select("text").mapInArrow(count, schema)
+    # In two steps, so that no sum has as many rows as there are tasks.
+    found = counted.groupBy("key", "part").applyInArrow(add, schema).groupBy("key").applyInArrow(add, schema).toArrow()
+    sketch, sizes = np.zeros((1 << SKETCH_BITS) // SKETCH_PART * SKETCH_PART, np.uint8).reshape(-1, SKETCH_PART), {}
+    for key, cells, n in zip(*(found.column(c).to_pylist() for c in ("key", "cells", "n")), strict=True):
+        if key < 0:
+            sizes[-1 - key] = n
+        else:
+            sketch[key] = np.frombuffer(cells, np.uint8)
+    return sketch.ravel(), sizes
 
 
 def _signatures(texts: DataFrame, k: int, percent: int, sketch: np.ndarray, boundary: int) -> DataFrame:
@@ -124,19 +148,22 @@ def _signatures(texts: DataFrame, k: int, percent: int, sketch: np.ndarray, boun
             value, begins = shingle_sets(batch.column(1), k)
             sizes = np.diff(begins)
             owner = np.repeat(np.arange(len(sizes)), sizes)
-            order = np.lexsort((value, rarity[(value >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)], owner))
-            ranked = value[order]
+            often = rarity[(value >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
+            order = np.lexsort((value, often, owner))
+            ranked, single = value[order], often[order] == 1
             total, other = np.zeros((2, len(value) + 1), np.uint64)
             np.cumsum(mix(value), out=total[1:])
             np.cumsum(mix(value ^ np.uint64(0xA5A5A5A5A5A5A5A5)), out=other[1:])
             bins = owner * BINS + (mix(value ^ np.uint64(0x5A5A5A5A5A5A5A5A)) % np.uint64(BINS)).astype(np.int64)
-            bins = np.bincount(bins, minlength=len(sizes) * BINS).astype(np.int32).reshape(-1, BINS)
+            bins = np.minimum(np.bincount(bins, minlength=len(sizes) * BINS), FULL).astype(np.uint8).reshape(-1, BINS)
             lists, pairs = [], []
             for size, begin in zip(sizes.tolist(), begins[:-1].tolist(), strict=True):
                 first = size - least_overlap(size, percent) + 1 if size else 0
-                lists.append(ranked[begin : begin + first] if size >= both else ranked[:0])
+                # A shingle that is in one text only joins nothing.
+                among = lambda count, begin=begin: ranked[begin : begin + count][~single[begin : begin + count]]
+                lists.append(among(first) if size >= both else ranked[:0])
                 # Two sets that differ share a second shingle only if both hold more than one.
-                chosen = ranked[begin : begin + first + 1] if 1 < size <= boundary else ranked[:0]
+                chosen = among(first + 1) if 1 < size <= boundary else ranked[:0]
                 at = np.array(list(combinations(range(len(chosen)), 2)), np.int64).reshape(-1, 2)
                 low, high = np.sort(chosen[at], axis=1).T if len(at) else (ranked[:0], ranked[:0])
                 pairs.append(mix(low ^ mix(high)))
@@ -200,7 +227,9 @@ def candidates_of(sizes: np.ndarray, bins: np.ndarray, percent: int) -> list[tup
     """A spanning forest of the pairs that sizes and signatures allow."""
     join, found = _forest(len(sizes)), []
     for i in range(1, len(sizes)):
-        shared = np.minimum(bins[i], bins[:i]).sum(axis=1)
+        least = np.minimum(bins[i], bins[:i])
+        # Two full bins may share any number.
+        shared = np.where((least == FULL).any(axis=1), np.minimum(sizes[i], sizes[:i]), least.sum(axis=1, dtype=np.int64))
         near = np.flatnonzero(100 * shared >= percent * (sizes[:i] + sizes[i] - shared))
         found += [(j, i) for j in near.tolist() if join(i, j)]
     return found
@@ -235,10 +264,11 @@ def near_groups(docs: DataFrame, k: int = 3, percent: int = 90, id_col: str = "d
     shared_dir(docs.sparkSession)
     sketch, histogram = _statistics(texts, k)
     boundary = small_boundary(histogram, percent)
-    signed = _signatures(texts, k, percent, sketch, boundary).checkpoint()
+    signed = staged(_signatures(texts, k, percent, sketch, boundary), "signatures")
     linkable = signed.where("id is not null and n > 0")
     # Equal sets are one node, named by the smallest id.
-    nodes = linkable.groupBy("n", "f1", "f2").agg(F.min("id").alias("node"), F.first("bins").alias("bins"), F.first("lists").alias("lists"), F.first("pairs").alias("pairs")).checkpoint()
+    nodes = linkable.groupBy("n", "f1", "f2").agg(F.min("id").alias("node"), F.first("bins").alias("bins"), F.first("lists").alias("lists"), F.first("pairs").alias("pairs"))
+    nodes = staged(nodes, "nodes")
     large = nodes.select("node", "n", F.explode("lists").alias("key"), F.lit(False).alias("pair"))
     small = nodes.select("node", "n", F.explode("pairs").alias("key"), F.lit(True).alias("pair"))
     # Made anew where they are read: as rows they take several times the room of the nodes' arrays.
@@ -246,7 +276,7 @@ def near_groups(docs: DataFrame, k: int = 3, percent: int = 90, id_col: str = "d
     # A list of small sets only says nothing that their pairs do not say.
     lists = postings.groupBy("key", "pair").agg(F.min("node").alias("first"), F.max("node").alias("last"), F.max("n").alias("most"), F.count("*").alias("members"))
     lists = lists.where((F.col("first") < F.col("last")) & (F.col("pair") | (F.col("most") > boundary))).select("key", "pair", "members")
-    shared = join_reduced(postings, lists, ["key", "pair"], "inner").checkpoint()
+    shared = staged(join_reduced(postings, lists, ["key", "pair"], "inner"), "postings")
     edges = _candidates(shared, nodes.select("node", "bins"), percent)
     groups = components(edges).withColumnRenamed("node", "id").withColumnRenamed("root", "rep_group")
     links = components(_scan(texts, linkable, nodes.select("node", "n", "f1", "f2"), groups, k, percent))
@@ -274,7 +304,7 @@ def _candidates(shared: DataFrame, signatures: DataFrame, percent: int) -> DataF
         table = table.sort_by([("list", "ascending"), ("node", "ascending")]).combine_chunks()
         nodes, kind = table.column("node").to_pylist(), table.schema.field("node").type
         sizes = table.column("n").to_numpy()
-        bins = np.frombuffer(b"".join(table.column("bins").to_pylist()), np.int32).reshape(-1, BINS)
+        bins = np.frombuffer(b"".join(table.column("bins").to_pylist()), np.uint8).reshape(-1, BINS)
         lists = table.column("list").to_numpy()
         cuts = [0, *(np.flatnonzero(np.diff(lists)) + 1).tolist(), len(lists)]
         done, found = set(), []
@@ -295,25 +325,17 @@ def _scan(texts: DataFrame, linkable: DataFrame, nodes: DataFrame, groups: DataF
     totals = members.groupBy("rep_group").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks"))
     members = join_reduced(members, totals, ["rep_group"]).select("id", "n", "f1", "f2", "rep_group", "blocks")
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in blocks(batches, 1):
-            value, begins = shingle_sets(batch.column(1), k)
-            lists = pa.ListArray.from_arrays(pa.array(begins.astype(np.int32)), _signed(value))
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists, *batch.columns[2:]], ["id", "shingles", "rep_group", "blocks"])
-
-    fields = [texts.schema["id"], T.StructField("shingles", T.ArrayType(T.LongType())), T.StructField("rep_group", texts.schema["id"].dataType), T.StructField("blocks", T.IntegerType())]
+    # Texts go to their groups as they are: they take less room than their shingles.
     chosen = texts.where("id is not null").join(members.select("id", "rep_group", "blocks"), "id").select("id", "text", "rep_group", "blocks")
     own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = chosen.mapInArrow(sets, T.StructType(fields)).withColumn("own", own).withColumn("other", other)
-    dealt = dealt.select("id", "shingles", "rep_group", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    dealt = chosen.withColumn("own", own).withColumn("other", other)
+    dealt = dealt.select("id", "text", "rep_group", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
 
     def scan(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
-        lists = table.column("shingles").combine_chunks()
-        sizes = np.diff(lists.offsets.to_numpy())
+        values, begins = shingle_sets(table.column("text").combine_chunks(), k)
         ids = table.column("id").to_pylist()
-        found = links_of(ids, sizes, lists.flatten().to_numpy(), percent) if sizes.sum() else []
+        found = links_of(ids, np.diff(begins), values.view(np.int64), percent) if len(values) else []
         kind = table.schema.field("id").type
         return pa.table({"a": pa.array([a for a, _ in found], kind), "b": pa.array([b for _, b in found], kind)})
 

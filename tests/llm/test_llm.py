@@ -372,6 +372,33 @@ def test_lm_joins_what_is_not_broadcast(spark, monkeypatch):
     assert all(got[i].base_score == pytest.approx(want[i].base_score) and got[i].n_known == want[i].n_known for i in range(4))
 
 
+def test_near_duplicate_stage_decides_by_text_not_by_id(spark):
+    words = [f"w{i}" for i in range(60)]
+    same, near, other = " ".join(words), " ".join([*words, "z"]), " ".join(reversed(words))
+    rows = [(1, same, "a"), (2, near, "b"), (2, None, "c"), (2, "", "d"), (3, same, "e"), (3, other, "f"), (3, other, "f"), (3, None, "g"), (None, same, "h"), (None, same, "h"), (4, "... two words", "i"), (4, "... two words", "j")]
+    docs = spark.createDataFrame([(*r, {"x": 1}) for r in rows], "doc_id long, text string, lang string, extra map<string, int>").repartition(3)
+    kept = corpus_pipeline.keep_one_of_each_group(spark, docs, "")
+    assert kept.columns == docs.columns
+    got = sorted((r.doc_id or -1, r.text or "", r.lang if r.doc_id != 4 else "one") for r in kept.collect())
+    assert got == sorted([(1, same, "a"), (2, "", "c"), (2, "", "d"), (3, other, "f"), (3, "", "g"), (-1, same, "h"), (-1, same, "h"), (4, "... two words", "one")])
+
+
+def test_counters_that_are_full_keep_links(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "FULL", 2)
+    rng = random.Random(21)
+    texts = [" ".join(rng.choice("abcdefg") for _ in range(rng.randint(30, 60))) for _ in range(12)]
+    texts += [t + " q" for t in texts[:6]] + texts[:3]
+    got = by_id(ngram_join.near_groups(frame(spark, texts).repartition(4), 3, 80))
+    sets = [{tuple(w[i : i + 3]) for i in range(len(w) - 2)} for w in (t.split() for t in texts)]
+    root = list(range(len(texts)))
+    for _ in texts:
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets):
+                if 100 * len(a & b) >= 80 * len(a | b):
+                    root[i] = root[j] = min(root[i], root[j])
+    assert [got[i].component_id for i in range(len(texts))] == root
+
+
 def test_pipeline_stages(spark, tmp_path):
     from hourledger.llm.languages import UNKNOWN
 
