@@ -9,8 +9,9 @@ the encoder made of each text. Empty tables pass as empty tables.
 - toxicity: texts that the nearest labelled examples call toxic go. A text that no example is near
   stays, so a table without labels, or none of the stage's rows labelled, rejects nothing.
 - near duplicates: of each group linked by a similarity of 0.8 on five-word shingles the row with the
-  smallest id stays, one row if several share it. Texts without words and rows with a null id have no
-  group and stay.
+  smallest id stays, one row if several share id and text. Rows that share an id but have unrelated
+  texts are of different groups. Texts without words, null ones and rows with a null id have no group
+  and stay.
 - decontamination: documents of which benchmark windows cover a twentieth or more go.
 - encoding: every row gets its ids and the text they decode to, as digests, and their number.
 """
@@ -19,7 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourledger.llm.arrow import to_learn_from
@@ -28,9 +29,9 @@ from hourledger.llm.decontaminate import contamination
 from hourledger.llm.languages import UNKNOWN, fit_languages, identify
 from hourledger.llm.ngram_join import near_groups
 from hourledger.llm.queries import table, tokenizer_path
+from hourledger.llm.staging import scratch, staged
 from hourledger.llm.toxicity import fit_toxicity, score_toxicity
 from hourledger.operators.reduced import join_reduced
-from hourledger.session import shared_dir
 
 MIN_LANGUAGE_SCORE = 0.5
 SHINGLE_WORDS, SIMILARITY_PERCENT = 5, 80
@@ -53,16 +54,23 @@ def keep_civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = near_groups(docs, SHINGLE_WORDS, SIMILARITY_PERCENT)
-    # Ids that stand for their group; a repeated id is one row here.
-    gone = groups.where((F.col("n_shingles") > 0) & (F.col("component_id") < F.col("doc_id"))).select("doc_id").distinct()
-    kept = join_reduced(docs, gone, ["doc_id"], "left_anti")
-    # Rows that share an id are one group, too, unless they have no words or no id.
-    grouped = groups.where("n_shingles > 0 and doc_id is not null").groupBy("doc_id").agg(F.count("*").alias(f"{OWN}rows")).where(F.col(f"{OWN}rows") > 1)
-    marked = join_reduced(kept, grouped, ["doc_id"])
-    first = Window.partitionBy("doc_id").orderBy(F.desc_nulls_last("text"))
-    several = marked.where(F.col(f"{OWN}rows").isNotNull()).withColumn(f"{OWN}n", F.row_number().over(first)).where(F.col(f"{OWN}n") == 1)
-    return marked.where(F.col(f"{OWN}rows").isNull()).select(docs.columns).unionByName(several.select(docs.columns))
+    # A row is told by its id and its text, so that an unrelated text under the same id is another row.
+    row, most = f"{OWN}row", f"{OWN}action"
+    named = docs.where("doc_id is not null").select("doc_id", "text", F.xxhash64("doc_id", "text").alias(row))
+    groups = near_groups(named, SHINGLE_WORDS, SIMILARITY_PERCENT, id_col=row).where("n_shingles > 0")
+    members = groups.groupBy(row).agg(F.first("component_id").alias("component"), F.count("*").alias("copies"))
+    members = join_reduced(named.select(row, "doc_id").distinct(), members, [row], "inner")
+    first = members.groupBy("component").agg(F.min(F.struct("doc_id", row)).alias("first"))
+    judged = join_reduced(members, first, ["component"])
+    action = F.when(F.col(row) != F.col(f"first.{row}"), F.lit("goes")).when(F.col("copies") > 1, F.lit("is one"))
+    judged = judged.select(row, action.alias(most)).where(F.col(most).isNotNull())
+    marked = join_reduced(docs.withColumn(row, F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text"))), judged, [row])
+    kept = staged(marked.where(F.col(most).isNull() | (F.col(most) != "goes")), "kept")
+    # Repeated rows differ in other columns at most: one of them stays.
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    repeated = kept.where(F.col(most) == "is one").groupBy("doc_id", "text").agg(F.first(F.struct(F.lit(0).alias(row), *others)).alias(row))
+    repeated = repeated.select(*[F.col(c) if c in ("doc_id", "text") else F.col(f"{row}.{c}") for c in docs.columns])
+    return kept.where(F.col(most).isNull()).select(docs.columns).unionByName(repeated)
 
 
 def keep_clean_of_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -88,10 +96,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents; each result but the last is written to the shared folder and reread."""
-    import uuid
-
     docs = table(spark, sf_dir, "documents")
-    folder = f"{shared_dir(spark)}/corpus-{uuid.uuid4().hex}"
+    folder = scratch(spark, "corpus")
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
