@@ -457,4 +457,11 @@ FROM invoices""",
     "invoice_inbox": _with(
         ["saved_decisions"], "SELECT invoice_id, CAST(invoice_id % 2 AS INTEGER) AS run, failures FROM saved_decisions"
     ),
+    "qa_consistency_by_keys": _with(
+        ["hours_raw", "hours_valid", "hours_std"],
+        """
+SELECT 'billable_hours_summary' AS label, r AS raw_count, s AS std_count,
+       CASE WHEN s < r THEN 'MISMATCH' ELSE 'OK' END AS status
+FROM (SELECT COUNT(DISTINCT userId) AS r FROM hours_raw), (SELECT COUNT(DISTINCT userId) AS s FROM hours_std)""",
+    ),
 }

@@ -16,9 +16,11 @@ from hourledger.operators import clean, hours, invoices, lookup, merge, quality,
 from hourledger.operators.latest import latest_per_key
 from hourledger.plans import adapters
 from hourledger.plans.pipeline import (
+    KEYS,
     PipelineConfig,
     StageFailed,
     book_hours,
+    check_layers,
     decisions,
     hydrate,
     landing_to_raw,
@@ -599,6 +601,18 @@ def mixed_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _load_hours(spark, sf_dir, "incremental", "full", "incremental")
 
 
+@query
+def qa_consistency_by_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The check after three loads, from the tables of keys that each load extended."""
+    cfg = PipelineConfig(_scratch(spark, "keys"), f"hourledger_{uuid.uuid4().hex}", check=KEYS)
+    catalog.create_database(spark, cfg.database)
+    for number, part in enumerate(_land_hours(spark, sf_dir, 3)):
+        landing.write_landing(part, cfg.landing(HOURS), RUN_TS.replace(second=number))
+        landing_to_raw(spark, cfg, HOURS)
+        raw_to_std(spark, cfg, HOURS)
+    return check_layers(spark, cfg, [HOURS]).drop("error")
+
+
 @query
 def hydrate_to_std(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Page dumps of users, tasks and time entries through all layers: the std hours and the check's line."""

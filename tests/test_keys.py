@@ -1,0 +1,55 @@
+"""Tables of keys seen: counts as those of a full scan, whatever is loaded twice."""
+
+import uuid
+from datetime import datetime
+
+import pytest
+from conftest import rows
+
+from hourledger import schemas
+from hourledger.operators.quality import distinct_count
+from hourledger.plans import pipeline
+from hourledger.plans.pipeline import KEYS, PipelineConfig
+from hourledger.plans.tables import HOURS
+from hourledger.sinks import key_table
+from hourledger.sinks.landing import write_landing
+
+PAIRS = [("a", "x"), ("a", None), (None, "x"), (None, None), ("b", "y")]
+
+
+@pytest.mark.parametrize("columns", [["k"], ["k", "m"]])
+def test_keys_are_those_of_a_full_count(spark, folder, columns):
+    path, seen = f"{folder}/keys", []
+    assert key_table.count_keys(spark, path) == 0
+    for batch in (PAIRS[:2], PAIRS[1:4], PAIRS[:2], [], PAIRS):
+        df = spark.createDataFrame(batch * 3, "k string, m string")
+        for _ in range(2):
+            key_table.extend_keys(df, columns, path)
+        seen += batch
+        whole = spark.createDataFrame(seen, "k string, m string").agg(distinct_count(columns)).first()[0]
+        assert key_table.count_keys(spark, path) == whole
+
+
+LOADS = [
+    [("k1", "1.25", "2024-05-06", "2024-05-12", "2024-05-13T00:00:00"), ("k2", "-3", "2024-05-06", "2024-05-12", "2024-05-13T00:00:00")],
+    [("k1", "2.25", "2024-05-06", "2024-05-12", "2024-05-14T00:00:00"), (None, "2", "2024-05-06", "2024-05-12", "2024-05-14T00:00:00")],
+    [("k2", "4", "2024-06-03", "2024-06-09", "2024-06-10T00:00:00"), ("k3", "?", "2024-06-03", "2024-06-09", "2024-06-10T00:00:00")],
+]
+
+
+@pytest.mark.parametrize("mode", ["incremental", "full"])
+def test_check_by_keys_agrees_with_the_scan_after_every_load(spark, folder, mode):
+    cfg = PipelineConfig(f"{folder}/lake", f"db_{uuid.uuid4().hex}", mode=mode, check=KEYS)
+    scan = PipelineConfig(cfg.root, cfg.database)
+    found = []
+    for number, data in enumerate(LOADS):
+        write_landing(spark.createDataFrame(data, schemas.HOURS_LANDING), cfg.landing(HOURS), datetime(2024, 7, 1, 0, 0, number))
+        pipeline.landing_to_raw(spark, cfg, HOURS)
+        if not number:
+            (missing,) = pipeline.check_layers(spark, cfg, [HOURS]).collect()
+            assert missing.status == "ERROR" and "table not found" in missing.error
+        pipeline.raw_to_std(spark, cfg, HOURS)
+        found.append(rows(pipeline.check_layers(spark, cfg, [HOURS])))
+        assert found[-1] == rows(pipeline.check_layers(spark, scan, [HOURS]))
+    name = "billable_hours_summary"
+    assert found == [[(name, 2, 1, "MISMATCH", None)], [(name, 2, 1, "MISMATCH", None)], [(name, 3, 2, "MISMATCH", None)]]
