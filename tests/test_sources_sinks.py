@@ -1,3 +1,5 @@
+import csv
+import io
 import json
 from datetime import datetime
 from pathlib import Path
@@ -28,22 +30,29 @@ def csv_text(folder):
 # --- Landing ----------------------------------------------------------------------------------
 
 
-def test_landed_users_text(spark, folder):
-    users = spark.createDataFrame([("1", "John", None, 'j"x,@x.com')], "id string, firstName string, lastName string, email string").coalesce(1)
-    target = landing.write_landing(landing.landing_users(users, RUN), folder, RUN)
+AWKWARD = ["plain", "comma, inside", 'say "so"', "", None, " edges ", "Ünïcode", "a\\b", "'"]
+
+
+def test_landed_users_are_what_a_csv_reader_reads(spark, folder):
+    users = [(str(n), AWKWARD[n], AWKWARD[-n], f"{n}@q.example") for n in range(len(AWKWARD))]
+    df = spark.createDataFrame(users, "id string, firstName string, lastName string, email string").coalesce(1)
+    target = landing.write_landing(landing.landing_users(df, RUN), folder, RUN)
     assert target.endswith("/run=2025-07-07_150000")
-    assert csv_text(target) == 'id,firstName,lastName,email,etl_time\n1,John,,"j""x,@x.com",2025-07-07T15:00:00\n'
-    back = read_landing(spark, folder, schemas.USERS_LANDING)
-    assert rows(back) == [("1", "John", None, 'j"x,@x.com', RUN)]
+    header, *lines = csv.reader(io.StringIO(csv_text(target)))
+    assert header == ["id", "firstName", "lastName", "email", "etl_time"]
+    assert lines == [[text or "" for text in user] + ["2025-07-07T15:00:00"] for user in users]
+    back = rows(read_landing(spark, folder, schemas.USERS_LANDING))
+    assert back == sorted([(*(text or None for text in user), RUN) for user in users], key=repr)
 
 
-def test_landed_hours_text(spark, folder):
-    summary = spark.createDataFrame([("123", 5.25), ("124", 7.0)], "userId string, total_billable_hours double").coalesce(1)
-    target = landing.write_landing(landing.landing_hours(summary, "2025-07-01", "2025-07-31", RUN), folder, RUN)
-    assert csv_text(target).splitlines()[:2] == [
-        "userId,total_billable_hours,start_date,end_date,etl_time",
-        "123,5.25,2025-07-01,2025-07-31,2025-07-07T15:00:00",
-    ]
+def test_landed_hours_have_two_decimals(spark, folder):
+    amounts = [0.0, 0.1 + 0.2, 1 / 3, 2.5, 19.999, 1234567.891, None]
+    summary = spark.createDataFrame([(f"u{n}", amount) for n, amount in enumerate(amounts)], "userId string, total_billable_hours double").coalesce(1)
+    target = landing.write_landing(landing.landing_hours(summary, "2022-10-01", "2022-10-31", RUN), folder, RUN)
+    header, *lines = csv.reader(io.StringIO(csv_text(target)))
+    assert header == ["userId", "total_billable_hours", "start_date", "end_date", "etl_time"]
+    assert [line[1] for line in lines] == ["" if a is None else f"{a:.2f}" for a in amounts]
+    assert {tuple(line[2:]) for line in lines} == {("2022-10-01", "2022-10-31", "2025-07-07T15:00:00")}
 
 
 def test_white_space_survives_landing(spark, folder):
@@ -91,10 +100,40 @@ def page(path, data, total):
 
 
 def test_pages_are_flattened_and_ids_become_text(spark, folder):
-    page(f"{folder}/1.json", [{"id": 1, "firstName": "Alice"}], 2)
-    page(f"{folder}/2.json", [{"id": "2", "firstName": "Bob", "more": {"x": 1}}], 2)
+    ids = [7, "8", 9.0, "x-10", 11, None, 12]
+    items = [{"id": i, "email": f"{n}@q.example", "unknown": {"deep": [n]}} for n, i in enumerate(ids)]
+    for start in range(0, len(items), 3):
+        page(f"{folder}/from/{start}.json", items[start : start + 3], len(items))
     users = api_pages.flatten_pages(api_pages.read_complete_pages(spark, folder, schemas.USERS_PAGE))
-    assert rows(users) == [("1", "Alice", None, None), ("2", "Bob", None, None)]
+    assert users.columns == ["id", "firstName", "lastName", "email"]
+    assert {tuple(r) for r in users.collect()} == {(None if i is None else str(i), None, None, f"{n}@q.example") for n, i in enumerate(ids)}
+
+
+def test_a_page_that_announces_nothing_fails_the_load(spark, folder):
+    page(f"{folder}/1.json", [{"id": 1}], 2)
+    write(f"{folder}/2.json", '{"data": [{"id": 2}], "meta": {}}')
+    with pytest.raises(api_pages.IncompletePages, match="not by every page"):
+        api_pages.read_complete_pages(spark, folder, schemas.USERS_PAGE)
+
+
+def test_json_is_parsed_once(spark, folder, monkeypatch):
+    page(f"{folder}/dump/1.json", [{"id": 1, "decimalHours": "2.5"}], 1)
+    opened, usual = [], type(spark.read).json
+    monkeypatch.setattr(type(spark.read), "json", lambda self, *a, **k: opened.append(a) or usual(self, *a, **k))
+    kept = f"{folder}/kept"
+    entries = api_pages.flatten_entries(api_pages.read_complete_pages(spark, f"{folder}/dump", schemas.ENTRIES_PAGE, kept=kept))
+    assert len(opened) == 1 and entries._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 1
+    assert "FileScan json" not in entries._jdf.queryExecution().executedPlan().toString()
+    Path(f"{folder}/dump/1.json").unlink()
+    assert rows(entries, "id", "decimalHours") == [("1", 2.5)]
+    assert all(kept in file for file in entries.inputFiles())
+
+
+def test_checks_read_ids_and_counts_only(spark, folder):
+    page(f"{folder}/dump/1.json", [{"id": 1, "email": "a@q.example"}], 1)
+    pages = api_pages.read_complete_pages(spark, f"{folder}/dump", schemas.USERS_PAGE)
+    plan = api_pages.page_totals(pages)._jdf.queryExecution().executedPlan().toString()
+    assert "email" not in plan.split("ReadSchema:")[1].split("\n")[0]
 
 
 @pytest.mark.parametrize("pages", [1, 3])
@@ -162,8 +201,8 @@ def test_mapping_history(spark, folder):
 
 
 def test_mapping_written_elsewhere_is_read(spark, folder):
-    write(f"{folder}/m.csv", "email,issuer_company,updated_at\nuser@x.com,Acme LLC,2025-07-01T10:00:00\n")
-    assert rows(tables.read_mapping(spark, folder)) == [("user@x.com", "Acme LLC", datetime(2025, 7, 1, 10))]
+    write(f"{folder}/m.csv", "email,issuer_company,updated_at\npia@q.example,\"Sur, y Cia\",2023-11-27T08:09:10\n")
+    assert rows(tables.read_mapping(spark, folder)) == [("pia@q.example", "Sur, y Cia", datetime(2023, 11, 27, 8, 9, 10))]
 
 
 # --- Invoice store ----------------------------------------------------------------------------
@@ -176,7 +215,7 @@ ACCEPTED = (
 
 def accepted(spark, *data):
     df = spark.createDataFrame(
-        [(n, at, email, "Empresa", "0123", hours, 100.0, description, day) for n, at, email, hours, description, day in data],
+        [(n, at, email, "Sur y Cia", "0099", hours, 100.0, description, day) for n, at, email, hours, description, day in data],
         ACCEPTED,
     )
     return df.withColumn("invoice_date", df["invoice_date"].cast("date"))
@@ -191,9 +230,9 @@ def test_stored_invoice_text(spark, folder):
     invoice_store.save_accepted(accepted(spark, (1, 1, "Test@x.com", 10.5, 'a\n"b"', "2025-06-30")), path)
     (file,) = Path(path).rglob("*.csv")
     assert file.parent == Path(path) / "year=2025" / "month=06"
-    assert file.read_text() == '"test@x.com","Empresa","0123","10.5","100.0","a ""b"""\n'
+    assert file.read_text() == '"test@x.com","Sur y Cia","0099","10.5","100.0","a ""b"""\n'
     assert stored(spark, path) == [("test@x.com", 10.5, 'a "b"', "2025", "06")]
-    assert tables.read_invoice_store(spark, path).first()["ruc_emisor"] == "0123"
+    assert tables.read_invoice_store(spark, path).first()["ruc_emisor"] == "0099"
 
 
 def test_last_accepted_per_email_and_month_wins(spark, folder):
