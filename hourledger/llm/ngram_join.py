@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hourledger.llm.arrow import blocks, ragged
+from hourledger.llm.arrow import blocks, kept, ragged
 from hourledger.llm.staging import staged
 from hourledger.llm.words import hashed_words, mix
 from hourledger.operators.reduced import join_reduced
@@ -35,6 +35,8 @@ from hourledger.session import shared_dir
 SKETCH_BITS, SKETCH_PART = 24, 1 << 16
 #: Where a byte stops counting.
 FULL = 255
+#: Bytes of text whose shingles are made at a time: each byte takes some fifty in passing.
+TEXT_BYTES = 1 << 20
 #: Shingles of a block of a candidate group; two blocks are scanned together.
 BLOCK_SHINGLES = 1_000_000
 #: Members of a block of a long list, and rows of short lists that are looked through together.
@@ -100,7 +102,8 @@ def _statistics(texts: DataFrame, k: int) -> tuple[np.ndarray, dict[int, int]]:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch, sizes = np.zeros(1 << SKETCH_BITS, np.uint8), {}
-        for batch in blocks(batches, 0):
+        kept(("ngram join",), lambda: None)  # what an earlier stage left in the worker goes
+        for batch in blocks(batches, 0, TEXT_BYTES):
             value, begins = shingle_sets(batch.column(0), k)
             at, often = np.unique(value >> np.uint64(64 - SKETCH_BITS), return_counts=True)
             at = at.astype(np.int64)
@@ -144,7 +147,7 @@ def _signatures(texts: DataFrame, k: int, percent: int, sketch: np.ndarray, boun
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rarity = shared.value
-        for batch in blocks(batches, 1):
+        for batch in blocks(batches, 1, TEXT_BYTES):
             value, begins = shingle_sets(batch.column(1), k)
             sizes = np.diff(begins)
             owner = np.repeat(np.arange(len(sizes)), sizes)
