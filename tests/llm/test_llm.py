@@ -265,6 +265,43 @@ def test_url_branches_of_a_dense_range_of_shares(spark):
     assert got["unknown", ""].bad_share == pytest.approx(sum(bool(r[2]) for r in rows) / sum(r[2] is not None for r in rows), abs=0.01)
 
 
+def exact_top(rows, k):
+    """By whole numbers of any size; rows of (id, vector)."""
+    import math
+
+    x = [(i, [math.floor(64 * float(c)) for c in v]) for i, v in rows]
+    out = set()
+    for q, v in {i: v for i, v in reversed(x) if i % 20 == 0}.items():
+        scored = [(-max(-(1 << 63), min((1 << 63) - 1, sum(a * b for a, b in zip(v, w, strict=True)))), i) for i, w in x if i != q]
+        out |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(sorted(scored)[:k])}
+    return out
+
+
+@pytest.mark.parametrize("pivots", [0, 3, 32])
+def test_top_k_with_ties_and_numbers_of_any_size(spark, monkeypatch, pivots):
+    from hourledger.llm import topk
+
+    monkeypatch.setattr(topk, "PIVOTS", pivots)
+    rng = random.Random(9)
+    rows = [(i, [rng.choice([0.0, 0.5, -1.0]) for _ in range(3)]) for i in range(300)]
+    rows += [(i, [rng.uniform(-1, 1) * 10.0 ** rng.choice([6, 9, 12]), rng.uniform(-1, 1), 2.0]) for i in range(300, 340)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    assert {tuple(r) for r in topk.top_k(df, F.col("vec_id") % 20 == 0, k=7).collect()} == exact_top(rows, 7)
+
+
+def test_top_k_of_components_beyond_long_ends(spark):
+    rows = [(0, [1e300, 1.0]), (1, [-1e300, 1.0]), (2, [3e38, 0.0]), (3, [0.25, 0.5]), (20, [1.0, 1.0])]
+    got = {tuple(r) for r in top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0, k=3).collect()}
+    assert got == exact_top(rows, 3)
+
+
+def test_top_k_of_repeated_ids(spark):
+    rows = [(0, [1.0, 0.0])] * 30 + [(n, [float(n % 5), 1.0]) for n in range(1, 45)] + [(7, [9.0, 9.0])] * 3
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = sorted(tuple(r) for r in top_k(df, F.col("vec_id") % 20 == 0, k=5).collect())
+    assert got == sorted(exact_top(rows, 5))
+
+
 def test_top_k_is_that_of_all_pairs(spark):
     rng = np.random.default_rng(2)
     rows = [(i, rng.normal(size=8).tolist()) for i in range(300)] + [(300 + i, [0.5] * 8) for i in range(60)]
