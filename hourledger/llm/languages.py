@@ -38,23 +38,25 @@ class LanguageModel:
     log_prior: np.ndarray
 
 
-def letter_table() -> np.ndarray:
-    """Lower case of each letter, 32 for everything else; marks belong to letters."""
-    table = np.full(0x110000, 32, np.uint32)
+def letter_table() -> tuple[np.ndarray, np.ndarray]:
+    """Lower case of each letter, marks as they are, 32 for everything else; and which are letters."""
+    table, letters = np.full(0x110000, 32, np.uint32), np.zeros(0x110000, bool)
     for code in range(0x110000):
         char = chr(code)
         if unicodedata.category(char)[0] in "LM":
             low = char.lower()
             table[code] = ord(low) if len(low) == 1 else code
-    return table
+            letters[code] = unicodedata.category(char)[0] == "L"
+    return table, letters
 
 
-def normalised(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Code points of all texts as the features see them, and where each text begins."""
+def normalised(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Code points of all texts as the features see them, where each text begins, and how many letters stand before that."""
     data, offsets = text_bytes(texts)
     codes = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
     begins = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[offsets]
-    return kept(("letters",), letter_table)[codes], begins
+    table, letters = kept(("letters",), letter_table)
+    return table[codes], begins, np.concatenate([[0], np.cumsum(letters[codes])])[begins]
 
 
 def features(codes: np.ndarray, begins: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -91,7 +93,7 @@ def fit_languages(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
             own, names = langs.indices.to_numpy(), langs.dictionary.to_pylist()
             found = np.zeros((len(names), size + 1), np.int64)
             found[:, size] = np.bincount(own, minlength=len(names))
-            for hashed, before in features(*normalised(batch.column(0))):
+            for hashed, before in features(*normalised(batch.column(0))[:2]):
                 of = np.repeat(own, np.diff(before)).astype(np.int64)
                 found[:, :size] += np.bincount(of * size + hashed, minlength=len(names) * size).reshape(-1, size)
             for name, row in zip(names, found, strict=True):
@@ -135,9 +137,8 @@ def identify(
         known = LanguageModel(*shared.value)
 
         def work(texts: pa.Array) -> list:
-            codes, begins = normalised(texts)
+            codes, begins, letters = normalised(texts)
             scores = np.tile(known.log_prior, (len(texts), 1))
-            letters = np.concatenate([[0], np.cumsum(codes != 32)])[begins]
             readable = (np.diff(letters) > 0) & (len(known.languages) > 0)
             for hashed, before in features(codes, begins):
                 filled = np.flatnonzero(np.diff(before))
