@@ -20,7 +20,6 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,9 +30,9 @@ from hourledger.llm.words import hashed_words, mix
 from hourledger.operators.reduced import join_reduced
 from hourledger.session import shared_dir
 
-#: Counters of the rarity sketch, of a byte each, as a power of two, and those that are summed together.
-SKETCH_BITS, SKETCH_PART = 24, 1 << 16
-#: Where a byte stops counting.
+#: Counters of the rarity sketch, as a power of two.
+SKETCH_BITS = 18
+#: Where a bin of a signature, a byte, stops counting.
 FULL = 255
 #: Bytes of text whose shingles are made at a time: each byte takes some fifty in passing.
 TEXT_BYTES = 1 << 20
@@ -98,46 +97,26 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 
 def _statistics(texts: DataFrame, k: int) -> tuple[np.ndarray, dict[int, int]]:
-    """The rarity sketch, of fixed size, and the sizes of all sets. No counter tells less than the texts of a shingle, up to FULL."""
+    """The rarity sketch and the sizes of all sets."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch, sizes = np.zeros(1 << SKETCH_BITS, np.uint8), {}
+        sketch, sizes = np.zeros(1 << SKETCH_BITS, np.int64), {}
         kept(("ngram join",), lambda: None)  # what an earlier stage left in the worker goes
         for batch in blocks(batches, 0, TEXT_BYTES):
             value, begins = shingle_sets(batch.column(0), k)
-            at, often = np.unique(value >> np.uint64(64 - SKETCH_BITS), return_counts=True)
-            at = at.astype(np.int64)
-            sketch[at] = np.minimum(sketch[at] + often, FULL)
+            sketch += np.bincount((value >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(sketch))
             for size, n in zip(*(x.tolist() for x in np.unique(np.diff(begins), return_counts=True)), strict=True):
                 sizes[size] = sizes.get(size, 0) + n
-        part = TaskContext.get().partitionId() % 64
-        for key, cells in enumerate(sketch.reshape(-1, SKETCH_PART)):
-            if cells.any():
-                yield pa.RecordBatch.from_pylist([{"key": key, "part": part, "cells": cells.tobytes(), "n": 0}], kinds)
+        at = np.flatnonzero(sketch)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(sketch[at])], ["key", "n"])
         # Sizes stand below zero.
-        yield pa.RecordBatch.from_pylist([{"key": -1 - size, "part": part, "cells": None, "n": n} for size, n in sizes.items()], kinds)
-
-    def add(rows: pa.Table) -> pa.Table:
-        key, total = rows.column("key")[0].as_py(), None
-        for cells in rows.column("cells"):
-            if cells.is_valid:
-                own = np.frombuffer(cells.as_py(), np.uint8).astype(np.uint16)
-                total = own if total is None else np.minimum(total + own, FULL)
-        cells = None if total is None else total.astype(np.uint8).tobytes()
-        return pa.Table.from_pylist([{"key": key, "part": 0, "cells": cells, "n": sum(rows.column("n").to_pylist())}], kinds)
-
-    kinds = pa.schema([("key", pa.int64()), ("part", pa.int32()), ("cells", pa.binary()), ("n", pa.int64())])
-    schema = "key long, part int, cells binary, n long"
-    counted = texts.select("text").mapInArrow(count, schema)
-    # In two steps, so that no sum has as many rows as there are tasks.
-    found = counted.groupBy("key", "part").applyInArrow(add, schema).groupBy("key").applyInArrow(add, schema).toArrow()
-    sketch, sizes = np.zeros((1 << SKETCH_BITS) // SKETCH_PART * SKETCH_PART, np.uint8).reshape(-1, SKETCH_PART), {}
-    for key, cells, n in zip(*(found.column(c).to_pylist() for c in ("key", "cells", "n")), strict=True):
-        if key < 0:
-            sizes[-1 - key] = n
-        else:
-            sketch[key] = np.frombuffer(cells, np.uint8)
-    return sketch.ravel(), sizes
+        yield pa.RecordBatch.from_arrays([pa.array([-1 - s for s in sizes], pa.int64()), pa.array(list(sizes.values()), pa.int64())], ["key", "n"])
+
+    found = texts.select("text").mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
+    keys, n = (found.column(c).to_numpy() for c in ("key", "n"))
+    sketch = np.zeros(1 << SKETCH_BITS, np.int64)
+    sketch[keys[keys >= 0]] = n[keys >= 0]
+    return sketch, dict(zip((-1 - keys[keys < 0]).tolist(), n[keys < 0].tolist(), strict=True))
 
 
 def _signatures(texts: DataFrame, k: int, percent: int, sketch: np.ndarray, boundary: int) -> DataFrame:
@@ -151,9 +130,8 @@ def _signatures(texts: DataFrame, k: int, percent: int, sketch: np.ndarray, boun
             value, begins = shingle_sets(batch.column(1), k)
             sizes = np.diff(begins)
             owner = np.repeat(np.arange(len(sizes)), sizes)
-            often = rarity[(value >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
-            order = np.lexsort((value, often, owner))
-            ranked, single = value[order], often[order] == 1
+            order = np.lexsort((value, rarity[(value >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)], owner))
+            ranked = value[order]
             total, other = np.zeros((2, len(value) + 1), np.uint64)
             np.cumsum(mix(value), out=total[1:])
             np.cumsum(mix(value ^ np.uint64(0xA5A5A5A5A5A5A5A5)), out=other[1:])
@@ -162,11 +140,9 @@ def _signatures(texts: DataFrame, k: int, percent: int, sketch: np.ndarray, boun
             lists, pairs = [], []
             for size, begin in zip(sizes.tolist(), begins[:-1].tolist(), strict=True):
                 first = size - least_overlap(size, percent) + 1 if size else 0
-                # A shingle that is in one text only joins nothing.
-                among = lambda count, begin=begin: ranked[begin : begin + count][~single[begin : begin + count]]
-                lists.append(among(first) if size >= both else ranked[:0])
+                lists.append(ranked[begin : begin + first] if size >= both else ranked[:0])
                 # Two sets that differ share a second shingle only if both hold more than one.
-                chosen = among(first + 1) if 1 < size <= boundary else ranked[:0]
+                chosen = ranked[begin : begin + first + 1] if 1 < size <= boundary else ranked[:0]
                 at = np.array(list(combinations(range(len(chosen)), 2)), np.int64).reshape(-1, 2)
                 low, high = np.sort(chosen[at], axis=1).T if len(at) else (ranked[:0], ranked[:0])
                 pairs.append(mix(low ^ mix(high)))
@@ -277,8 +253,8 @@ def near_groups(docs: DataFrame, k: int = 3, percent: int = 90, id_col: str = "d
     # Made anew where they are read: as rows they take several times the room of the nodes' arrays.
     postings = large.unionByName(small)
     # A list of small sets only says nothing that their pairs do not say.
-    lists = postings.groupBy("key", "pair").agg(F.min("node").alias("first"), F.max("node").alias("last"), F.max("n").alias("most"), F.count("*").alias("members"))
-    lists = lists.where((F.col("first") < F.col("last")) & (F.col("pair") | (F.col("most") > boundary))).select("key", "pair", "members")
+    lists = postings.groupBy("key", "pair").agg(F.max("n").alias("most"), F.count("*").alias("members"))
+    lists = lists.where((F.col("members") > 1) & (F.col("pair") | (F.col("most") > boundary))).select("key", "pair", "members")
     shared = staged(join_reduced(postings, lists, ["key", "pair"], "inner"), "postings")
     edges = _candidates(shared, nodes.select("node", "bins"), percent)
     groups = components(edges).withColumnRenamed("node", "id").withColumnRenamed("root", "rep_group")

@@ -13,7 +13,7 @@ pytest.importorskip("hourledger.llm.queries")
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from hourledger.llm import chat, lm, ngram_join, toxicity, url_filter
+from hourledger.llm import chat, languages, lm, ngram_join, toxicity, url_filter
 from hourledger.llm.bpe import encode_decode
 from hourledger.llm.decontaminate import contamination
 from hourledger.llm.languages import fit_languages, identify
@@ -89,10 +89,42 @@ def test_languages(spark):
     got = by_id(identify(frame(spark, ["the dog", "der hund", "la chat", None, "", "123 !?", "the dog"]), model))
     assert [got[i].lang_pred for i in range(7)] == ["en", "de", "fr", "und", "und", "und", "en"]
     assert all(0 <= row.score <= 1 for row in got.values()) and got[3].score == 0 and got[0].score == got[6].score
+    marks = by_id(identify(frame(spark, ["\u0301", "12 \u20dd", "\u0301\u0302!", "e\u0301"]), model))
+    assert [marks[i].lang_pred == "und" for i in range(4)] == [True, True, True, False]
     nobody = fit_languages(train.where("false"))
     assert {row.lang_pred for row in identify(train, nobody).collect()} == {"und"}
 
 
+def test_language_posteriors_are_those_of_counting_grams(spark):
+    """Grams of words and spaces as text, counted one by one; no two of these share a hash."""
+    import math
+
+    rng = random.Random(6)
+    make = lambda letters: " ".join("".join(rng.choice(letters) for _ in range(rng.randint(1, 5))) for _ in range(8))
+    train = [(make("aab"), "x") for _ in range(15)] + [(make("abb"), "y") for _ in range(9)]
+    asked = [make("ab") for _ in range(10)] + ["", "a"]
+
+    def grams(text):
+        for n in languages.GRAMS:
+            for k in range(len(text) - n + 1):
+                if text[k : k + n].strip():
+                    yield text[k : k + n]
+
+    counts = {lang: Counter(g for t, own in train if own == lang for g in grams(t)) for lang in "xy"}
+    space = 1 << languages.FEATURE_BITS
+    got = by_id(identify(frame(spark, asked), fit_languages(spark.createDataFrame([(i, t, None, 1, lang) for i, (t, lang) in enumerate(train)], DOCS))))
+    for i, text in enumerate(asked):
+        rows = {lang: sum(own == lang for _, own in train) + 1 for lang in "xy"}
+        log = {
+            lang: math.log(rows[lang] / sum(rows.values()))
+            + sum(math.log((counts[lang][g] + languages.SMOOTHING) / (counts[lang].total() + languages.SMOOTHING * space)) for g in grams(text))
+            for lang in "xy"
+        }
+        best = max("xy", key=log.get)
+        assert got[i].lang_pred == (best if text else "und")
+        assert got[i].score == (pytest.approx(1 / (1 + math.exp(min(log.values()) - max(log.values()))), abs=1e-4) if text else 0)
+
+
 def test_languages_held_out(spark):
     from hourledger.llm.queries import op6_language_id
 
