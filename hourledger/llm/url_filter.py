@@ -1,8 +1,9 @@
 """URL filter by path-template trees, one per host.
 
-A tree is grown level by level for all hosts at once. At a node, a segment that holds a fair share
-of the node's pages stays as it is; the others are variable and become wildcards by shape, digits
-and letters. Siblings under one parent are then merged while their labelled shares are statistically
+A tree is grown level by level for all hosts at once, as deep as paths go. At a node, a segment that
+holds a fair share of the node's pages stays as it is; the others are variable and become wildcards
+by shape, digits and letters. A node that pages of one path only reach is not grown further: what is
+left of the path is taken at once, so there are as many levels as different paths share. Siblings under one parent are then merged while their labelled shares are statistically
 alike, and a template is rejected if the smoothed share of bad labels along its path is high.
 """
 
@@ -19,8 +20,6 @@ from hourledger.operators.reduced import join_reduced
 from hourledger.session import shared_dir
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Segments a template spells out; the rest of a deeper path is one last wildcard.
-MAX_DEPTH = 6
 #: A segment with at least this share of its node's pages is not variable.
 LITERAL_SHARE = 0.05
 #: Stands for the parent of a host's root; every node but the root begins with a slash.
@@ -51,32 +50,40 @@ def rule_match(host: Column, path: Column, rules: list[tuple[str, str, str]]) ->
 
 def shape(segment: Column) -> Column:
     """A variable segment's wildcard: runs of digits and of letters by kind, an extension kept."""
-    return F.regexp_replace(F.regexp_replace(segment, r"\p{L}{5,}|\p{L}+(?=.*\d)|(?<=\d)\p{L}{1,4}(?=\d)", "{w}"), r"\d+", "{n}")
+    extension = F.regexp_extract(segment, r"\.\p{L}{1,4}$", 0)
+    stem = F.substring(segment, F.lit(1), F.length(segment) - F.length(extension))
+    # Marks first, since the wildcards have letters themselves.
+    marked = F.regexp_replace(F.regexp_replace(stem, r"\p{L}+", "\x01"), r"\d+", "\x02")
+    return F.concat(F.replace(F.replace(marked, F.lit("\x01"), F.lit("{w}")), F.lit("\x02"), F.lit("{n}")), extension)
 
 
 def templates(pages: DataFrame) -> DataFrame:
     """`pages` (host, path, ...) with each page's template."""
     segments = F.split(F.regexp_replace("path", "^/", ""), "/")
-    rows = pages.withColumn("__segments", segments).withColumn("template", F.lit(""))
+    rows = pages.withColumn("__segments", segments).withColumn("template", F.lit("")).withColumn("__open", F.lit(True))
     shared_dir(pages.sparkSession)
     rows = rows.checkpoint()
-    depth = min(MAX_DEPTH, rows.agg(F.max(F.size("__segments"))).first()[0] or 0)
-    for level in range(depth):
+    level = 0
+    while (rows.agg(F.max(F.when(F.col("__open"), F.size("__segments")))).first()[0] or 0) > level:
         segment = F.get("__segments", F.lit(level))
-        rows = rows.withColumn("__segment", segment)
-        # Every node's frequent segments: at most 1 / LITERAL_SHARE rows a node.
-        counts = rows.where("__segment is not null").groupBy("host", "template", "__segment").agg(F.count("*").alias("__n"))
+        rows = rows.withColumn("__segment", F.when(F.col("__open"), segment))
+        counts = rows.where("__segment is not null").groupBy("host", "template", "__segment")
+        counts = counts.agg(F.count("*").alias("__n"), (F.min("path") == F.max("path")).alias("__one"))
         nodes = counts.groupBy("host", "template").agg(F.sum("__n").alias("__all"))
-        frequent = join_reduced(counts, nodes, ["host", "template"]).where(F.col("__n") >= F.greatest(F.lit(2), F.col("__all") * LITERAL_SHARE))
-        literal = frequent.select("host", "template", "__segment", F.lit(True).alias("__literal"))
-        rows = join_reduced(rows, literal, ["host", "template", "__segment"])
-        step = F.when(F.col("__literal"), F.col("__segment")).otherwise(shape(F.col("__segment")))
-        if level == MAX_DEPTH - 1:
-            step = F.when(F.size("__segments") > MAX_DEPTH, F.concat(step, F.lit("/**"))).otherwise(step)
+        # Every node's frequent segments, at most 1 / LITERAL_SHARE rows a node, and the nodes of one page.
+        literal = F.col("__n") >= F.greatest(F.lit(2), F.col("__all") * LITERAL_SHARE)
+        told = join_reduced(counts, nodes, ["host", "template"]).where(literal | (F.col("__all") == 1))
+        told = told.select("host", "template", "__segment", literal.alias("__literal"), F.when(literal, F.col("__one")).otherwise(True).alias("__last"))
+        rows = join_reduced(rows, told, ["host", "template", "__segment"])
+        left = F.slice("__segments", level + 1, F.size("__segments"))
+        spelt = lambda x: F.when(F.col("__literal"), x).otherwise(shape(x))
+        step = F.when(F.col("__last"), F.array_join(F.transform(left, spelt), "/")).otherwise(spelt(F.col("__segment")))
         grown = F.when(F.col("__segment").isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), step))
+        still = F.col("__segment").isNotNull() & ~F.coalesce("__last", F.lit(False))
         # The next level reads the rows twice; without a cut each level would double the work.
-        rows = rows.withColumn("template", grown).drop("__literal").checkpoint()
-    return rows.drop("__segments", "__segment")
+        rows = rows.withColumn("template", grown).withColumn("__open", still).drop("__literal", "__last").checkpoint()
+        level += 1
+    return rows.drop("__segments", "__segment", "__open")
 
 
 def mark_branches(nodes: DataFrame) -> DataFrame:

@@ -279,6 +279,57 @@ def test_urls(spark):
     assert url_filter.filter_urls(pages.where("false"), labels.where("false"), rules).count() == 0
 
 
+def brute_templates(rows):
+    """Templates of (host, path) pages, each node's pages looked at by themselves."""
+    import re
+
+    def wildcard(x):
+        extension = (re.search(r"\.[^\W\d_]{1,4}$", x) or [""])[0]
+        stem = x[: len(x) - len(extension)]
+        return "".join("{w}" if m[1] else "{n}" if m[2] else m[0] for m in re.finditer(r"([^\W\d_]+)|(\d+)|.", stem, re.S)) + extension
+
+    out = [""] * len(rows)
+    nodes = {host: [k for k, r in enumerate(rows) if r[0] == host] for host, _ in rows}
+    work = [(members, 0) for members in nodes.values()]
+    while work:
+        members, level = work.pop()
+        parts = {k: rows[k][1].removeprefix("/").split("/") for k in members}
+        deeper = [k for k in members if len(parts[k]) > level]
+        counts, children = Counter(parts[k][level] for k in deeper), {}
+        for k in deeper:
+            x = parts[k][level]
+            step = x if counts[x] >= max(2, len(deeper) * url_filter.LITERAL_SHARE) else wildcard(x)
+            out[k] += "/" + step
+            children.setdefault(step, []).append(k)
+        work += [(own, level + 1) for own in children.values()]
+    return out
+
+
+def test_templates_are_those_of_looking_at_each_node(spark):
+    rng = random.Random(31)
+    parts = ["news", "a1", "img", "x.html", "2024", "05", "über", "", "q-7_z"]
+    rows = []
+    for host in ("one", "two", ""):
+        for _ in range(120):
+            path = "/".join(rng.choice(parts) if rng.random() < 0.7 else f"{rng.choice('abcd')}{rng.randrange(99)}" for _ in range(rng.randint(0, 5)))
+            rows.append((host, "/" + path if path else ""))
+    rows += [("long", "/" + "/".join(f"s{i}" for i in range(60)))] * 3 + [("long", "/t/" + "/".join(f"s{i}" for i in range(40)))]
+    rows += [("deep", f"/a/b/c/d/e/f/{'good' if i % 2 else 'bad'}/{i}") for i in range(60)]
+    rows += [("short", f"/{rng.choice('bcdf')}{a}{b}{rng.choice('aeiou')}") for a in "aeiou" for b in "klmnprst"]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "page_id int, host string, path string").repartition(4)
+    got = by_id(url_filter.templates(df), "page_id")
+    want = brute_templates(rows)
+    assert [got[i].template for i in range(len(rows))] == want
+    assert {t for (h, _), t in zip(rows, want, strict=True) if h == "short"} == {"/{w}"}
+
+
+def test_pages_that_differ_far_down_are_told_apart(spark):
+    pages = spark.createDataFrame([(i, f"http://h/a/b/c/d/e/f/{'good' if i % 2 else 'poor'}/{i}") for i in range(200)], "page_id int, url string")
+    labels = spark.createDataFrame([(i, i % 2 == 0) for i in range(200)], "page_id int, bad boolean")
+    got = url_filter.filter_urls(pages, labels, []).collect()
+    assert all(r.verdict == ("allow" if r.page_id % 2 else "block") for r in got)
+
+
 def test_url_branches_of_a_dense_range_of_shares(spark):
     letters = "abcdefghijklmnopqrstuvwxyz"
     rows = [("h", f"/{letters[i // 26]}{letters[i % 26]}", j < 5 * i) for i in range(41) for j in range(200)]
