@@ -9,8 +9,8 @@ The size up to which sets count as small is the one of least cost over the sizes
 Equal sets are one node. Two sets of a list are candidates if their sizes allow the similarity, and
 so do their signatures: the counts of shingles by hash bin, whose sum of minima bounds the
 intersection from above. Sets that are candidates, directly or through others, are a group; a group's
-sets are scanned together. Long lists and large groups are dealt out as pairs of blocks of bounded
-size. Lists and scans report spanning forests, so n near copies give n - 1 rows, not all pairs.
+sets are scanned together. Long lists are dealt out as pairs of blocks of bounded size, large groups as
+blocks, of which only what is not connected yet meets the others. Lists and scans report spanning forests, so n near copies give n - 1 rows, not all pairs.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -214,18 +214,19 @@ def candidates_of(sizes: np.ndarray, bins: np.ndarray, percent: int) -> list[tup
     return found
 
 
-def links_of(ids: np.ndarray, sizes: np.ndarray, values: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links among the sets, by scanning inverted lists."""
+def links_of(ids: list, sizes: np.ndarray, values: np.ndarray, percent: int, asked: np.ndarray | None = None) -> list[tuple]:
+    """A spanning forest of the links among the sets, or of those of the sets `asked`, by scanning inverted lists."""
     begins = np.cumsum(sizes) - sizes
     _, token = np.unique(values, return_inverse=True)
     order = np.argsort(token, kind="stable")
     held = np.repeat(np.arange(len(sizes)), sizes)[order]
     starts = np.searchsorted(token[order], np.arange(token.max() + 2))
     join, found = _forest(len(sizes)), []
-    for i in range(len(sizes)):
+    for i in range(len(sizes)) if asked is None else asked.tolist():
+        others = i if asked is None else len(sizes)
         own = token[begins[i] : begins[i] + sizes[i]]
-        shared = np.bincount(held[ragged(starts[own], starts[own + 1] - starts[own])], minlength=len(sizes))[:i]
-        near = np.flatnonzero(100 * shared >= percent * (sizes[:i] + sizes[i] - shared))
+        shared = np.bincount(held[ragged(starts[own], starts[own + 1] - starts[own])], minlength=len(sizes))[:others]
+        near = np.flatnonzero(100 * shared >= percent * (sizes[:others] + sizes[i] - shared))
         found += [(j, i) for j in near.tolist() if join(i, j)]
     return [(ids[a], ids[b]) for a, b in found]
 
@@ -258,7 +259,7 @@ def near_groups(docs: DataFrame, k: int = 3, percent: int = 90, id_col: str = "d
     shared = staged(join_reduced(postings, lists, ["key", "pair"], "inner"), "postings")
     edges = _candidates(shared, nodes.select("node", "bins"), percent)
     groups = components(edges).withColumnRenamed("node", "id").withColumnRenamed("root", "rep_group")
-    links = components(_scan(texts, linkable, nodes.select("node", "n", "f1", "f2"), groups, k, percent))
+    links = components(_scan(texts, nodes.select("node", "n"), groups, k, percent))
     own = join_reduced(linkable.select("id", "n", "f1", "f2"), nodes.select("node", "n", "f1", "f2"), ["n", "f1", "f2"]).select("id", "node")
     every = join_reduced(own, links, ["node"]).select("id", F.coalesce("root", "node").alias("root"))
     # Rows that share an id get the smallest of their components.
@@ -298,25 +299,48 @@ def _candidates(shared: DataFrame, signatures: DataFrame, percent: int) -> DataF
     return dealt.groupBy("slot").applyInArrow(look, out)
 
 
-def _scan(texts: DataFrame, linkable: DataFrame, nodes: DataFrame, groups: DataFrame, k: int, percent: int) -> DataFrame:
-    """Links (a, b) within candidate groups that connect what any links connect."""
+def _scan(texts: DataFrame, nodes: DataFrame, groups: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links (a, b) within candidate groups that connect what any links connect.
+
+    A group's sets are dealt into blocks of bounded size, each with the group's first set, and a block is
+    scanned as a whole. What links connect to the first set, as near copies mostly are, need not meet
+    again. Only the sets that are left are compared with the group's other blocks.
+    """
+    kind = texts.schema["id"].dataType
     members = join_reduced(nodes.withColumnRenamed("node", "id"), groups, ["id"], "inner")
     totals = members.groupBy("rep_group").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks"))
-    members = join_reduced(members, totals, ["rep_group"]).select("id", "n", "f1", "f2", "rep_group", "blocks")
+    members = staged(join_reduced(members, totals, ["rep_group"]).select("id", "n", "rep_group", "blocks"), "members")
 
-    # Texts go to their groups as they are: they take less room than their shingles.
-    chosen = texts.where("id is not null").join(members.select("id", "rep_group", "blocks"), "id").select("id", "text", "rep_group", "blocks")
-    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = chosen.withColumn("own", own).withColumn("other", other)
-    dealt = dealt.select("id", "text", "rep_group", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    def every(blocks: Column) -> Column:
+        return F.sequence(F.lit(0), blocks - 1)
 
-    def scan(table: pa.Table) -> pa.Table:
+    def own(blocks: Column) -> Column:
+        return F.pmod(F.xxhash64("id"), blocks).cast("int")
+
+    def look(table: pa.Table) -> pa.Table:
         values, begins = shingle_sets(table.column("text").combine_chunks(), k)
-        ids = table.column("id").to_pylist()
-        found = links_of(ids, np.diff(begins), values.view(np.int64), percent) if len(values) else []
+        ids, asked = table.column("id").to_pylist(), table.column("asked").to_numpy()
+        found = links_of(ids, np.diff(begins), values.view(np.int64), percent, None if asked.all() else np.flatnonzero(asked)) if len(values) else []
         kind = table.schema.field("id").type
         return pa.table({"a": pa.array([a for a, _ in found], kind), "b": pa.array([b for _, b in found], kind)})
 
-    out = T.StructType([T.StructField(c, texts.schema["id"].dataType) for c in ("a", "b")])
-    return dealt.groupBy("rep_group", "i", "j").applyInArrow(scan, out)
+    def scanned(dealt: DataFrame) -> DataFrame:
+        # Texts go to their blocks as they are: they take less room than their shingles.
+        rows = texts.where("id is not null").join(dealt, "id").select("id", "text", "rep_group", "i", "j", "asked")
+        return rows.groupBy("rep_group", "i", "j").applyInArrow(look, T.StructType([T.StructField(c, kind) for c in ("a", "b")]))
+
+    blocks = F.col("blocks")
+    place = F.explode(F.when(F.col("id") == F.col("rep_group"), every(blocks)).otherwise(F.array(own(blocks)))).alias("i")
+    first = staged(scanned(members.select("id", "rep_group", place, F.lit(0).alias("j"), F.lit(True).alias("asked"))), "links")
+    split = members.where(blocks > 1)
+    if split.isEmpty():
+        return first
+    roots = components(first).withColumnRenamed("node", "id")
+    rooted = join_reduced(split, roots, ["id"]).withColumn("root", F.coalesce("root", "id"))
+    leading = rooted.where(F.col("id") == F.col("rep_group")).select("rep_group", F.col("root").alias("leading"))
+    left = staged(join_reduced(rooted, leading, ["rep_group"]).where(F.col("root") != F.col("leading")).select("id", "n", "rep_group", "blocks"), "left")
+    waiting = left.groupBy("rep_group").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("parts"))
+    parts = F.col("parts")
+    one = join_reduced(left, waiting, ["rep_group"]).select("id", "rep_group", F.explode(every(blocks)).alias("i"), own(parts).alias("j"), F.lit(True).alias("asked"))
+    other = join_reduced(split, waiting, ["rep_group"], "inner").select("id", "rep_group", own(blocks).alias("i"), F.explode(every(parts)).alias("j"), F.lit(False).alias("asked"))
+    return first.unionByName(scanned(one.unionByName(other)))

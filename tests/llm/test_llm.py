@@ -503,6 +503,19 @@ def test_near_duplicate_stage_decides_by_text_not_by_id(spark):
     assert got == sorted([(1, same, "a"), (2, "", "c"), (2, "", "d"), (3, other, "f"), (3, "", "g"), (-1, same, "h"), (-1, same, "h"), (4, "... two words", "one")])
 
 
+@pytest.mark.parametrize("shingles", [40, 150, 10_000])
+def test_chains_of_links_through_many_blocks(spark, monkeypatch, shingles):
+    """Each text is linked to its neighbours in the chain only; stars of copies hang on some."""
+    monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", shingles)
+    words = [f"w{i}" for i in range(400)]
+    texts = [" ".join(words[2 * i : 2 * i + 60]) for i in range(45)] + [" ".join(words[200 + 3 * i : 260 + 3 * i]) for i in range(12)]
+    texts += [texts[20] + f" x{i}" for i in range(15)]
+    random.Random(3).shuffle(texts)
+    got = by_id(ngram_join.near_groups(frame(spark, texts).repartition(5), 3, 85))
+    want = brute_groups(texts, 3, 85)
+    assert [got[i].component_id for i in range(len(texts))] == (want if not isinstance(want[0], tuple) else [w[1] for w in want])
+
+
 def test_counters_that_are_full_keep_links(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "FULL", 2)
     rng = random.Random(21)
