@@ -71,12 +71,13 @@ def lookup(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 def units(keys: np.ndarray, endings: np.ndarray, head: np.ndarray) -> np.ndarray:
     """Unit of each token; `head` holds the frequent words' keys in ascending order."""
     place, there = lookup(head, keys)
-    return np.where(keys == END_KEY, END, np.where(there, place, tail_unit(endings)))
+    # Sixteen bits, which numpy sorts by their digits.
+    return np.where(keys == END_KEY, END, np.where(there, place, tail_unit(endings))).astype(np.int16)
 
 
 def contexts(unit: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The units before each token and before that; the end's unit stands before a text."""
-    one, two = np.full(len(unit), END), np.full(len(unit), END)
+    one, two = np.full(len(unit), END, np.int16), np.full(len(unit), END, np.int16)
     one[1:], two[2:] = unit[:-1], unit[:-2]
     starts = begins[:-1][begins[:-1] < len(unit)]
     one[starts] = two[starts] = END
@@ -112,7 +113,13 @@ class Model:
         t, n = vector[target], vector[noise]
         offset = log_noise + np.float32(np.log(len(noise)))
         pull = 1 / (1 + np.exp(np.clip(offset[target] - (q * t).sum(axis=1) - bias[target], -30, 30))) - 1
-        push = 1 / (1 + np.exp(np.clip(offset[noise] - q @ n.T - bias[noise], -30, 30)))
+        push = q @ n.T
+        np.subtract(offset[noise], push, out=push)
+        push -= bias[noise]
+        np.clip(push, -30, 30, out=push)
+        np.exp(push, out=push)
+        push += 1
+        np.divide(1, push, out=push)
         dq = pull[:, None] * t + push @ n
         gradient = [np.zeros_like(p) for p in self.parts]
         both = np.concatenate([one, two])
@@ -128,27 +135,42 @@ class Model:
     @staticmethod
     def _scatter(into: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
         order = np.argsort(rows, kind="stable")
-        own, first = np.unique(rows[order], return_index=True)
-        into[own] += np.add.reduceat(values[order], first, axis=0)
+        rows = rows[order]
+        first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
+        into[rows[first]] += np.add.reduceat(values[order], first, axis=0)
 
     def log_probabilities(self, one: np.ndarray, two: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Natural logarithms of the normalised probabilities of the targets."""
         context, vector, place, bias = self.parts
-        pair, of = np.unique(one.astype(np.int64) * UNITS + two, return_inverse=True)
+        both = one.astype(np.int64) * UNITS + two
+        there = np.zeros(UNITS * UNITS, bool)
+        there[both] = True
+        pair = np.flatnonzero(there)
+        number = np.zeros(UNITS * UNITS, np.int32)
+        number[pair] = np.arange(len(pair), dtype=np.int32)
+        of = number[both]
         result, ones = np.empty(len(target)), np.ones(UNITS, np.float32)
-        order = np.argsort(of, kind="stable")
-        cuts = np.searchsorted(of[order], np.arange(0, len(pair) + CONTEXTS, CONTEXTS))
+        chunk = (of // CONTEXTS).astype(np.int16)
+        order = np.argsort(chunk, kind="stable")
+        cuts = np.searchsorted(chunk[order], np.arange(-(-len(pair) // CONTEXTS) + 1))
+        # The biases are one more place of the vectors, so that the product adds them.
+        longer = np.concatenate([vector, bias[:, None]], axis=1).T.copy()
+        longest = np.sqrt((vector * vector).sum(axis=1).max())
         for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
             own = pair[k * CONTEXTS : (k + 1) * CONTEXTS]
-            q = context[own // UNITS] * place[0] + context[own % UNITS] * place[1]
-            score = q @ vector.T
-            score += bias
-            top = score.max(axis=1)
+            q = np.ones((len(own), WIDTH + 1), np.float32)
+            q[:, :WIDTH] = context[own // UNITS] * place[0] + context[own % UNITS] * place[1]
+            score = q @ longer
             at = order[a:b]
-            chosen = score[of[at] - k * CONTEXTS, target[at]]
-            score -= top[:, None]
+            row = of[at] - k * CONTEXTS
+            chosen = score[row, target[at]]
+            # No score is further from 0 than this; where its exponential could leave the range, the largest score goes first.
+            bound = np.sqrt((q[:, :WIDTH] ** 2).sum(axis=1).max()) * longest + np.abs(bias).max()
+            top = np.zeros(len(own), np.float32) if bound < 60 else score.max(axis=1)
+            if bound >= 60:
+                score -= top[:, None]
             norm = np.log(np.exp(score, out=score) @ ones) + top
-            result[at] = chosen - norm[of[at] - k * CONTEXTS]
+            result[at] = chosen - norm[row]
         return result
 
 
@@ -157,7 +179,7 @@ def _counts(texts: DataFrame) -> DataFrame:
 
     def merge(parts: list[tuple]) -> tuple:
         keys, last, n = (np.concatenate(c) for c in zip(*parts, strict=True))
-        order = np.argsort(keys, kind="stable")
+        order = np.argsort(keys)
         keys, last, n = keys[order], last[order], n[order]
         first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
         return keys[first], last[first], np.add.reduceat(n, first) if len(first) else n

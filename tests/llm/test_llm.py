@@ -2,10 +2,12 @@
 
 import hashlib
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 pytest.importorskip("hourledger.llm.queries")
@@ -20,6 +22,7 @@ from hourledger.llm.languages import fit_languages, identify
 from hourledger.llm.queries import tokenizer_path
 from hourledger.llm.token_counts import Transducer, count_tokens, load_pieces
 from hourledger.llm.topk import top_k
+from hourledger.llm.words import FACTOR, mix, words_and_endings
 
 DOCS = "doc_id long, text string, n_tokens string, score int, lang string"
 
@@ -484,6 +487,38 @@ def test_lm_scores(spark):
     assert lm.score_lm(docs.where("false"), fitted).count() == 0
 
 
+@pytest.mark.parametrize("steep", [1.0, 90.0])
+def test_lm_probabilities_are_normalised_at_any_scale(steep):
+    draw = np.random.default_rng(5)
+    model = lm.Model(draw.normal(0, 1, sum(int(np.prod(s)) for s in lm.Model.SHAPES)) * steep)
+    context, vector, place, bias = (p.astype(np.float64) for p in model.parts)
+    one, two, target = draw.integers(0, lm.UNITS, (3, 500)).astype(np.int16)
+    one[250:], two[250:] = one[:250], two[:250]
+    score = (context[one] * place[0] + context[two] * place[1]) @ vector.T + bias
+    top = score.max(axis=1)
+    want = score[np.arange(500), target] - top - np.log(np.exp(score - top[:, None]).sum(axis=1))
+    got = model.log_probabilities(one, two, target)
+    assert np.allclose(got, want, rtol=1e-4, atol=1e-4 * steep**3)
+
+
+def test_words_are_hashed_in_little_room():
+    """Work by byte is done on pieces that stay in the processor's cache; a word's hash is the polynomial of its bytes."""
+    rng = random.Random(2)
+    words = ["".join(rng.choice("abcXYZé") for _ in range(rng.randint(1, 9))) for _ in range(700_000)]
+    text = pa.array([" ".join(words)])
+    tracemalloc.start()
+    hashes, endings, begins = words_and_endings(text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 25 * len(text[0].as_py().encode())
+    assert begins.tolist() == [0, len(words)]
+    for i in [0, 1, len(words) // 2, len(words) - 1]:
+        low = "".join(c.lower() if c.isascii() else c for c in words[i]).encode()
+        plain = sum((b + 1) * pow(FACTOR, k, 1 << 64) for k, b in enumerate(low)) % (1 << 64)
+        assert hashes[i] == mix(np.array([plain], np.uint64))[0]
+        assert endings[i] == int.from_bytes(bytes(reversed(low[-3:])).ljust(3, b"\0"), "big")
+
+
 def test_lm_joins_what_is_not_broadcast(spark, monkeypatch):
     docs = frame(spark, ["a b c d e f g h a b a", "a b zz", None, "q q"])
     want = by_id(lm.score_lm(docs, lm.fit_lm(docs.where("doc_id <> 3"))))
