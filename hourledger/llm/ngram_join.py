@@ -8,7 +8,7 @@ The size up to which sets count as small is the one of least cost over the sizes
 
 Equal sets are one node. Two sets of a list are candidates if their sizes allow the similarity, and
 so do their signatures: the counts of shingles by hash bin, whose sum of minima bounds the
-intersection from above. Sets that are candidates, directly or through others, are a group; a group's
+intersection from above. Large sets have more bins, and fold them to meet smaller ones. Sets that are candidates, directly or through others, are a group; a group's
 sets are scanned together. Long lists are dealt out as pairs of blocks of bounded size, large groups as
 blocks, of which only what is not connected yet meets the others. Lists and scans report spanning forests, so n near copies give n - 1 rows, not all pairs.
 """
@@ -40,8 +40,9 @@ TEXT_BYTES = 1 << 20
 BLOCK_SHINGLES = 1_000_000
 #: Members of a block of a long list, and rows of short lists that are looked through together.
 LIST_BLOCK, LIST_ROWS = 2048, 20_000
-#: Hash bins of a signature.
-BINS = 128
+#: Hash bins of a signature, by powers of two: one for SHINGLES_A_BIN shingles, within these bounds. Fuller bins tell
+#: unrelated sets apart less and less; a set beyond the upper bound is only filtered less.
+BINS, MOST_BINS, SHINGLES_A_BIN = 128, 2048, 8
 #: What a posting of an inverted list costs, in keys of a small set.
 SCAN_COST = 4
 
@@ -92,6 +93,12 @@ def small_boundary(histogram: dict[int, int], percent: int) -> int:
     return best
 
 
+def bins_of(sizes: np.ndarray) -> np.ndarray:
+    """How many bins the signatures of sets of these sizes have."""
+    needed = np.maximum(-(-sizes // SHINGLES_A_BIN), 1)
+    return np.clip(1 << np.ceil(np.log2(needed)).astype(np.int64), BINS, MOST_BINS)
+
+
 def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).view(np.int64))
 
@@ -135,8 +142,10 @@ def _signatures(texts: DataFrame, k: int, percent: int, sketch: np.ndarray, boun
             total, other = np.zeros((2, len(value) + 1), np.uint64)
             np.cumsum(mix(value), out=total[1:])
             np.cumsum(mix(value ^ np.uint64(0xA5A5A5A5A5A5A5A5)), out=other[1:])
-            bins = owner * BINS + (mix(value ^ np.uint64(0x5A5A5A5A5A5A5A5A)) % np.uint64(BINS)).astype(np.int64)
-            bins = np.minimum(np.bincount(bins, minlength=len(sizes) * BINS), FULL).astype(np.uint8).reshape(-1, BINS)
+            wide = bins_of(sizes)
+            cuts = np.concatenate([[0], np.cumsum(wide)])
+            bins = cuts[owner] + (mix(value ^ np.uint64(0x5A5A5A5A5A5A5A5A)).view(np.int64) & (wide[owner] - 1))
+            bins = np.minimum(np.bincount(bins, minlength=cuts[-1]), FULL).astype(np.uint8)
             lists, pairs = [], []
             for size, begin in zip(sizes.tolist(), begins[:-1].tolist(), strict=True):
                 first = size - least_overlap(size, percent) + 1 if size else 0
@@ -150,7 +159,7 @@ def _signatures(texts: DataFrame, k: int, percent: int, sketch: np.ndarray, boun
                 pa.array(np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32)), _signed(np.concatenate(parts) if parts else ranked[:0])
             )
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes), _signed(total[begins[1:]] - total[begins[:-1]]), _signed(other[begins[1:]] - other[begins[:-1]]), pa.array([b.tobytes() for b in bins], pa.binary()), as_lists(lists), as_lists(pairs)],
+                [batch.column(0), pa.array(sizes), _signed(total[begins[1:]] - total[begins[:-1]]), _signed(other[begins[1:]] - other[begins[:-1]]), pa.array([bins[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()), as_lists(lists), as_lists(pairs)],
                 ["id", "n", "f1", "f2", "bins", "lists", "pairs"],
             )
 
@@ -202,18 +211,30 @@ def _forest(n: int):
     return join
 
 
-def candidates_of(sizes: np.ndarray, bins: np.ndarray, percent: int) -> list[tuple[int, int]]:
+def candidates_of(sizes: np.ndarray, signatures: list[bytes], percent: int) -> list[tuple[int, int]]:
     """A spanning forest of the pairs that sizes and signatures allow."""
-    join, found = _forest(len(sizes)), []
-    for i in range(1, len(sizes)):
+    wide = np.array([len(b) for b in signatures])
+    order = np.argsort(-wide, kind="stable")
+    sizes, wide = sizes[order], wide[order]
+    join, found, bins = _forest(len(sizes)), [], None
+    for i in range(len(sizes)):
+        # Those before have as many bins or more, and are folded to as many.
+        if bins is None or wide[i] != bins.shape[1]:
+            own = np.frombuffer(b"".join(signatures[at] for at in order[i:][wide[i:] == wide[i]].tolist()), np.uint8).reshape(-1, wide[i])
+            bins = own if bins is None else np.concatenate([_folded(bins, wide[i]), own])
         least = np.minimum(bins[i], bins[:i])
         # Two full bins may share any number.
         shared = np.where((least == FULL).any(axis=1), np.minimum(sizes[i], sizes[:i]), least.sum(axis=1, dtype=np.int64))
         near = np.flatnonzero(100 * shared >= percent * (sizes[:i] + sizes[i] - shared))
-        found += [(j, i) for j in near.tolist() if join(i, j)]
+        found += [(int(order[j]), int(order[i])) for j in near.tolist() if join(i, j)]
     return found
 
 
+def _folded(bins: np.ndarray, wide: int) -> np.ndarray:
+    """The signatures with so many bins; a bin that was full stays full."""
+    return np.minimum(bins.reshape(len(bins), -1, wide).sum(axis=1, dtype=np.int64), FULL).astype(np.uint8)
+
+
 def links_of(ids: list, sizes: np.ndarray, values: np.ndarray, percent: int, asked: np.ndarray | None = None) -> list[tuple]:
     """A spanning forest of the links among the sets, or of those of the sets `asked`, by scanning inverted lists."""
     begins = np.cumsum(sizes) - sizes
@@ -284,7 +305,7 @@ def _candidates(shared: DataFrame, signatures: DataFrame, percent: int) -> DataF
         table = table.sort_by([("list", "ascending"), ("node", "ascending")]).combine_chunks()
         nodes, kind = table.column("node").to_pylist(), table.schema.field("node").type
         sizes = table.column("n").to_numpy()
-        bins = np.frombuffer(b"".join(table.column("bins").to_pylist()), np.uint8).reshape(-1, BINS)
+        bins = table.column("bins").to_pylist()
         lists = table.column("list").to_numpy()
         cuts = [0, *(np.flatnonzero(np.diff(lists)) + 1).tolist(), len(lists)]
         done, found = set(), []

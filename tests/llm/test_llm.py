@@ -551,6 +551,44 @@ def test_chains_of_links_through_many_blocks(spark, monkeypatch, shingles):
     assert len(set(roots)) < len(texts) / 3 and [got[i].component_id for i in range(len(texts))] == roots
 
 
+def test_signatures_of_any_width_keep_links_and_part_large_sets():
+    """Sets that share nearly all are candidates, also where one has more bins; large unrelated sets are not."""
+    draw = np.random.default_rng(7)
+
+    def signature(values):
+        wide = int(ngram_join.bins_of(np.array([len(values)]))[0])
+        return np.minimum(np.bincount(values % wide, minlength=wide), ngram_join.FULL).astype(np.uint8).tobytes()
+
+    for size in (60, 1000, 1024, 1100, 2048, 2300, 8000, 20_000):
+        own = draw.choice(1 << 40, size, replace=False)
+        fewer, other = own[: -(-size * 9 // 10)], np.concatenate([own[: -(-size * 19 // 20)], draw.choice(1 << 40, size // 20)])
+        values = [fewer, own, other]
+        if size >= 1000:
+            values += [draw.choice(1 << 40, size - 3 * i, replace=False) for i in range(4)]
+        draw.shuffle(order := np.arange(len(values)))
+        found = ngram_join.candidates_of(np.array([len(values[i]) for i in order]), [signature(values[i]) for i in order], 80)
+        assert len(found) == 2 and {int(order[i]) for pair in found for i in pair} == {0, 1, 2}
+
+
+def test_large_texts_that_share_a_passage_are_no_group(spark, monkeypatch):
+    """Groups of large sets chained by little in common were dealt out pair of blocks by pair of blocks."""
+    rng = random.Random(17)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(6))
+    passage = [word() for _ in range(300)]
+    texts = [" ".join([word() for _ in range(3700 + 9 * i)] + passage) for i in range(10)]
+    texts += [texts[0] + " more words", texts[4].replace(" ", "\n")]
+    scanned, scan = [], ngram_join._scan
+
+    def spy(texts, nodes, groups, k, percent):
+        scanned.extend(groups.collect())
+        return scan(texts, nodes, groups, k, percent)
+
+    monkeypatch.setattr(ngram_join, "_scan", spy)
+    got = by_id(ngram_join.near_groups(frame(spark, texts).repartition(3), 5, 80))
+    assert [got[i].component_id for i in range(12)] == [*range(10), 0, 4]
+    assert sorted(r["id"] for r in scanned) == [0, 4, 10]
+
+
 def test_counters_that_are_full_keep_links(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "FULL", 2)
     rng = random.Random(21)
