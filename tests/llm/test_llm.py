@@ -572,6 +572,7 @@ def test_signatures_of_any_width_keep_links_and_part_large_sets():
 
 def test_large_texts_that_share_a_passage_are_no_group(spark, monkeypatch):
     """Groups of large sets chained by little in common were dealt out pair of blocks by pair of blocks."""
+    monkeypatch.setattr(ngram_join, "SKETCH_BITS", 1)  # as full as the sketch of a large corpus: rarity tells nothing
     rng = random.Random(17)
     word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(6))
     passage = [word() for _ in range(300)]
