@@ -23,8 +23,12 @@ from pyspark.sql import DataFrame
 
 from hourledger.llm.arrow import kept, map_texts
 
-#: Chunks between white space that a worker remembers; when there are more, it forgets all and begins anew.
-MAX_KNOWN = 600_000
+#: Bytes of the chunks between white space that a worker remembers, with their ids and texts; beyond, it forgets all.
+KNOWN_BYTES = 48 << 20
+#: What the objects of a remembered chunk take beside their content.
+ENTRY_BYTES = 300
+#: Bytes of text whose new chunks are merged at once; a merge takes many times its bytes.
+MERGED_BYTES = 2 << 20
 #: What the tokenizer file splits on, and white space as its library understands it.
 SHORT_FORMS = "'s|'t|'re|'ve|'m|'ll|'d"
 WHITE = r"\t-\r \x85\xa0  -     　"
@@ -81,6 +85,7 @@ class Encoder:
         self.find_chunks = re.compile(f"[^{WHITE}]+").findall
         self.find_words = re.compile(spec["words"]).findall
         self.known: dict[str, tuple[bytes, str]] = {}
+        self.held = 0
 
     def chunks(self, text: str) -> list[str]:
         """What stands between white space; special tokens stand alone, with a mark before."""
@@ -114,6 +119,7 @@ class Encoder:
                 self.known[c] = own[parts[0]]
             else:
                 self.known[c] = b"".join([own[w][0] for w in parts]), " ".join([own[w][1] for w in parts])
+            self.held += ENTRY_BYTES + 2 * len(c) + len(self.known[c][0])
 
     def merge(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words in a row, and where each word begins."""
@@ -170,14 +176,23 @@ class Encoder:
         return symbol[:n][alive], np.cumsum(counts) - counts
 
     def run(self, texts: list[str]) -> Iterator[tuple[bytes, str]]:
-        """Ids as little-endian bytes and decoded text of each text."""
-        chunks = [self.chunks(text) for text in texts]
-        if len(self.known) > MAX_KNOWN:
+        """Ids as little-endian bytes and decoded text of each text.
+
+        A text is split twice, once for what is new in it: the chunks of all texts, as objects, would
+        take many times the room of the texts.
+        """
+        if self.held > KNOWN_BYTES:
             self.known.clear()
-        self.learn(list(set().union(*chunks).difference(self.known)))
+            self.held = 0
+        new: set[str] = set()
+        for text in texts:
+            new.update(self.chunks(text))
+        new.difference_update(self.known)
+        self.learn(list(new))
+        del new
         known = self.known
-        for own in chunks:
-            found = [known[c] for c in own]
+        for text in texts:
+            found = [known[c] for c in self.chunks(text)]
             yield b"".join([ids for ids, _ in found]), " ".join([text for _, text in found if text])
 
 
@@ -204,16 +219,19 @@ def encode_decode(
 
     def start():
         encoder = kept(("bpe", path), lambda: Encoder(spec.value))
+        kinds = [pa.int64(), *([pa.string(), pa.string()] if digest else [pa.binary(), pa.string()])]
 
         def work(texts: pa.Array) -> list:
-            results = list(encoder.run([t or "" for t in texts.to_pylist()]))
-            counts = pa.array([len(ids) // 4 for ids, _ in results], pa.int64())
-            if digest:
-                return [counts, *(pa.array([hashlib.sha256(x).hexdigest() for x in column], pa.string()) for column in ([ids for ids, _ in results], [text.encode() for _, text in results]))]
-            return [counts, pa.array([ids for ids, _ in results], pa.binary()), pa.array([text for _, text in results], pa.string())]
+            results = encoder.run([t or "" for t in texts.to_pylist()])
+            if digest:  # as they come, so that no block's ids and texts lie in memory at once
+                results = ((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(text.encode()).hexdigest()) for ids, text in results)
+            else:
+                results = ((len(ids) // 4, ids, text) for ids, text in results)
+            rows = list(results)
+            return [pa.array([row[k] for row in rows], kind) for k, kind in enumerate(kinds)]
 
         return work
 
     columns = {"ids_sha256": "string", "decoded_sha256": "string"} if digest else {"ids": "binary", "decoded": "string"}
     outputs = {f"{prefix}{k}": v for k, v in ({"n_tokens": "long"} | columns).items()}
-    return map_texts(docs, text_col, carry or [id_col], outputs, start, 8 << 20)
+    return map_texts(docs, text_col, carry or [id_col], outputs, start, MERGED_BYTES)

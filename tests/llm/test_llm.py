@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from hourledger.llm import chat, languages, lm, ngram_join, toxicity, url_filter
-from hourledger.llm.bpe import encode_decode
+from hourledger.llm.bpe import Encoder, encode_decode, load_spec
 from hourledger.llm.decontaminate import contamination
 from hourledger.llm.languages import fit_languages, identify
 from hourledger.llm.queries import tokenizer_path
@@ -84,6 +84,18 @@ def test_bpe_is_the_library_s_and_decodes(docs):
         assert digests[i].decoded_sha256 == hashlib.sha256(decoded.encode()).hexdigest()
 
 
+def test_bpe_remembers_a_bounded_number_of_bytes():
+    encoder = Encoder(load_spec(tokenizer_path("word_bpe_49k.json")))
+    block = lambda k: [" ".join("a" * 1000 + str(k * 1000 + n) for n in range(1000))]
+    first = list(encoder.run(block(0)))
+    most = 0
+    for k in range(1, 40):
+        list(encoder.run(block(k)))
+        most = max(most, sum(len(c) + len(ids) + len(text) for c, (ids, text) in encoder.known.items()))
+    assert most < 64 << 20
+    assert list(encoder.run(block(0))) == first
+
+
 def test_languages(spark):
     rows = [("the cat and the dog", "en"), ("und der hund ist", "de"), ("le chat et la", "fr")] * 20 + [(None, "en"), ("xyz", None), ("", "de")]
     train = spark.createDataFrame([(i, t, None, 1, lang) for i, (t, lang) in enumerate(rows)], DOCS)
