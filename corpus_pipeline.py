@@ -14,6 +14,9 @@ the encoder made of each text. Empty tables pass as empty tables.
   and stay.
 - decontamination: documents of which benchmark windows cover a twentieth or more go.
 - encoding: every row gets its ids and the text they decode to, as digests, and their number.
+
+Every stage bounds the bytes of the batches that the session's Python workers get: the workers and the
+executor's buffers live on from stage to stage, and each would keep the room of the largest batch.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourledger.llm.arrow import to_learn_from
+from hourledger.llm.arrow import bound_batches, to_learn_from
 from hourledger.llm.bpe import encode_decode
 from hourledger.llm.decontaminate import contamination
 from hourledger.llm.languages import UNKNOWN, fit_languages, identify
@@ -82,12 +85,23 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return encode_decode(docs, tokenizer_path("word_bpe_49k.json"), digest=True)
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("language", keep_readable),
-    ("toxicity", keep_civil),
-    ("near_duplicates", keep_one_of_each_group),
-    ("decontamination", keep_clean_of_benchmarks),
-    ("encoding", encode),
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def in_bounded_batches(stage: Stage) -> Stage:
+    def bounded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        bound_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return bounded
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("language", in_bounded_batches(keep_readable)),
+    ("toxicity", in_bounded_batches(keep_civil)),
+    ("near_duplicates", in_bounded_batches(keep_one_of_each_group)),
+    ("decontamination", in_bounded_batches(keep_clean_of_benchmarks)),
+    ("encoding", in_bounded_batches(encode)),
 ]
 
 #: Naive Bayes, nearest examples and merges are beyond SQL; tests hold each stage against brute force.

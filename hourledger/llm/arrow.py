@@ -8,12 +8,26 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Bytes of text that a task works on at a time; only a single longer text exceeds it.
 BLOCK_BYTES = 4 << 20
+#: Bytes of rows that Spark hands a Python worker at a time; only a single longer row exceeds it by more.
+BATCH_BYTES = 8 << 20
+_BATCH_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """From now on this session's batches are bounded in bytes, unless the user has bounded them.
+
+    Spark by itself sends 10,000 rows at once, of whatever size, and the executor holds such a batch
+    as vectors, as a message and in the worker. The limit is read when a result is computed, so it
+    is not taken back here.
+    """
+    if spark.conf.get(_BATCH_LIMIT, None) is None:
+        spark.conf.set(_BATCH_LIMIT, str(BATCH_BYTES))
 
 
 def kept(key: tuple, build: Callable):

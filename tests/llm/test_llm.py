@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from hourledger.llm import chat, languages, lm, ngram_join, toxicity, url_filter
+from hourledger.llm.arrow import blocks
 from hourledger.llm.bpe import Encoder, encode_decode, load_spec
 from hourledger.llm.decontaminate import contamination
 from hourledger.llm.languages import fit_languages, identify
@@ -643,6 +644,35 @@ def test_pipeline_stages(spark, tmp_path):
     assert corpus_pipeline.STAGES[2][1](spark, again, sf).count() == docs.count()
 
 
+def test_stages_bound_the_bytes_of_a_batch(spark):
+    def sizes(batches):
+        yield from (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"]) for b in batches)
+
+    rows = spark.range(0, 2000, 1, 1).select(F.col("id").alias("doc_id"), F.expr("repeat('ein Wort ', 2000)").alias("text"), F.lit("de").alias("lang"))
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    for name, stage in corpus_pipeline.STAGES:
+        spark.conf.unset(limit)
+        stage(spark, rows.where("false"), "/root/testdata/sf0.001")
+        got = [r.n for r in rows.mapInArrow(sizes, "n long").collect()]
+        assert sum(got) > 35e6 and max(got) < 10e6, name
+    spark.conf.set(limit, "1m")
+    corpus_pipeline.STAGES[0][1](spark, rows.where("false"), "/root/testdata/sf0.001")
+    assert spark.conf.get(limit) == "1m"
+    spark.conf.unset(limit)
+
+
+def test_a_block_of_languages_takes_little_room():
+    texts = pa.array(["quelques mots d'une langue " * 100] * 800)  # 2 MB
+    languages.normalised(texts.slice(0, 1))  # the table of letters stays
+    tracemalloc.start()
+    for block in blocks(iter([pa.RecordBatch.from_arrays([texts], ["text"])]), 0, languages.BLOCK):
+        for _ in languages.features(*languages.normalised(block.column(0))[:2]):
+            pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30e6
+
+
 @pytest.mark.parametrize("labelled", [[], [(9999, 1)], [(None, 1), (3, None)], [(0, 1)], [(i, 1) for i in range(10)]])
 def test_civil_stage_keeps_what_no_example_is_near(spark, tmp_path, labelled):
     docs = frame(spark, [f"text number {i} of {'many' if i % 2 else 'some'} words" for i in range(20)] + [None, ""])
